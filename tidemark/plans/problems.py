@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.operators import messages
+from tidemark.operators import compare, history, messages
 from tidemark.operators.changes import ChangeTable
+from tidemark.operators.compaction import Compactor
 from tidemark.operators.incremental import IncrementalReader, ledger_positions
 from tidemark.session import work_dir
 from tidemark.sources.tables import table
@@ -41,7 +43,50 @@ def p3_current_items(spark: SparkSession, d: str) -> DataFrame:
     return _applied(spark, d).select("id", "name", "description", "price", "on_offer", "processing_time")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p2_found, p2_messages, p3_found)}
+def _differences(spark: SparkSession, d: str) -> DataFrame:
+    target = compare.latest(table(spark, d, "items"), "id", "processing_time")
+    target = target.where(~F.coalesce(F.col("operation") == "d", F.lit(False)))
+    return compare.differences(spark, table(spark, d, "items_source"), target, "id", ("name", "description", "price", "on_offer"), "missing_in_items_source", "missing_in_items", work_dir(spark, "p4"))
+
+
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    return _differences(spark, d).select("id", "field")
+
+
+def p4_values(spark: SparkSession, d: str) -> DataFrame:
+    return _differences(spark, d)
+
+
+def _compacted(spark: SparkSession, d: str) -> Compactor:
+    out = Compactor(spark, work_dir(spark, "p5"))
+    out.compact(table(spark, d, "item_changes"), table(spark, d, "data_files"), table(spark, d, "processed_batches"))
+    return out
+
+
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    return _compacted(spark, d).replaced().select("file_path")
+
+
+def p5_rows(spark: SparkSession, d: str) -> DataFrame:
+    return _compacted(spark, d).rows()
+
+
+def p6_found(spark: SparkSession, d: str) -> DataFrame:
+    readings = table(spark, d, "item_snapshots")
+    grid = history.slots(readings)
+    found = history.versions(history.as_of(history.build(readings, grid=grid)), grid)
+    text = lambda x: F.date_format(x, "yyyy-MM-dd HH:mm:ss")
+    return found.select("id", text("valid_from").alias("valid_from"), F.coalesce(text("valid_to"), F.lit("open")).alias("valid_to"))
+
+
+def p6_versions(spark: SparkSession, d: str) -> DataFrame:
+    readings = table(spark, d, "item_snapshots")
+    grid = history.slots(readings)
+    found = history.versions(history.as_of(history.build(readings, grid=grid)), grid)
+    return found.select("id", "values.price", "values.on_offer", "valid_from", "valid_to")
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p2_found, p2_messages, p3_found, p3_current_items, p4_found, p4_values, p5_found, p5_rows, p6_found, p6_versions)}
 
 ORACLES: dict[str, str] = {
     "p1_found": """
@@ -62,3 +107,41 @@ ORACLES: dict[str, str] = {
         r AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY t DESC, "offset" DESC, topic DESC, "partition" DESC) AS rn FROM m)
         SELECT id, topic, "partition", "offset" FROM r WHERE rn = 1 AND gone = 0""",
 }
+
+_P4 = """
+    t AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY processing_time DESC NULLS LAST) AS rn FROM items WHERE id IS NOT NULL) WHERE rn = 1 AND (operation IS NULL OR operation <> 'd')),
+    s AS (SELECT * FROM items_source WHERE id IS NOT NULL),
+    f AS (
+      SELECT s.id, 'missing_in_items' AS field, NULL AS value_a, NULL AS value_b FROM s LEFT JOIN t ON s.id = t.id WHERE t.id IS NULL
+      UNION ALL SELECT t.id, 'missing_in_items_source', NULL, NULL FROM t LEFT JOIN s ON s.id = t.id WHERE s.id IS NULL
+      UNION ALL SELECT s.id, 'name', s.name, t.name FROM s JOIN t ON s.id = t.id WHERE s.name IS DISTINCT FROM t.name
+      UNION ALL SELECT s.id, 'description', s.description, t.description FROM s JOIN t ON s.id = t.id WHERE s.description IS DISTINCT FROM t.description
+      UNION ALL SELECT s.id, 'price', CAST(s.price AS VARCHAR), CAST(t.price AS VARCHAR) FROM s JOIN t ON s.id = t.id WHERE s.price IS DISTINCT FROM t.price
+      UNION ALL SELECT s.id, 'on_offer', CAST(s.on_offer AS VARCHAR), CAST(t.on_offer AS VARCHAR) FROM s JOIN t ON s.id = t.id WHERE s.on_offer IS DISTINCT FROM t.on_offer)"""
+
+_P5 = """
+    small AS (SELECT DISTINCT file_path, year, month FROM data_files WHERE removed_time IS NULL AND file_size_in_bytes < 16777216 AND batch_id IN (SELECT batch_id FROM processed_batches WHERE batch_id IS NOT NULL)),
+    chosen AS (SELECT file_path, year, month FROM small WHERE (year, month) IN (SELECT (year, month) FROM small GROUP BY year, month HAVING count(*) >= 5))"""
+
+_P6 = """
+    grid AS (SELECT row_number() OVER (ORDER BY t) AS slot, t, lead(t) OVER (ORDER BY t) AS e FROM (SELECT DISTINCT processing_time AS t FROM item_snapshots WHERE processing_time IS NOT NULL)),
+    r AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY id, processing_time ORDER BY loaded_time DESC NULLS LAST, price DESC NULLS LAST, on_offer DESC NULLS LAST) AS rn FROM item_snapshots WHERE id IS NOT NULL) WHERE rn = 1),
+    m AS (SELECT id, price, on_offer, slot, t, e, lag(slot) OVER w AS ps, lag(price) OVER w AS pp, lag(on_offer) OVER w AS po FROM r JOIN grid ON r.processing_time = grid.t WINDOW w AS (PARTITION BY id ORDER BY slot)),
+    k AS (SELECT *, sum(CASE WHEN ps = slot - 1 AND pp IS NOT DISTINCT FROM price AND po IS NOT DISTINCT FROM on_offer THEN 0 ELSE 1 END) OVER (PARTITION BY id ORDER BY slot) AS run FROM m),
+    v AS (SELECT id, run, min(t) AS valid_from, max(slot) AS s2 FROM k GROUP BY id, run)"""
+
+ORACLES |= {
+    "p3_current_items": """
+        WITH m AS (SELECT topic, "partition", "offset", id, min(processing_time) AS t FROM item_changes WHERE id IS NOT NULL AND processing_time IS NOT NULL GROUP BY ALL),
+        r AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY t DESC, "offset" DESC, topic DESC, "partition" DESC) AS rn FROM m),
+        p AS (SELECT i.id, i.name, i.description, i.price, i.on_offer, i.operation, i.processing_time, row_number() OVER (PARTITION BY i.id ORDER BY i.name NULLS LAST, i.description NULLS LAST, i.price NULLS LAST, i.on_offer NULLS LAST, i.operation NULLS LAST, i.year, i.month, i.batch_id NULLS LAST) AS k
+          FROM item_changes i JOIN r ON r.rn = 1 AND i.id = r.id AND i.topic = r.topic AND i."partition" = r."partition" AND i."offset" = r."offset" AND i.processing_time = r.t)
+        SELECT id, name, description, price, on_offer, processing_time FROM p WHERE k = 1 AND coalesce(lower(trim(operation)), '') <> 'd'""",
+    "p4_found": f"WITH {_P4} SELECT id, field FROM f",
+    "p4_values": f"WITH {_P4} SELECT id, field, value_a, value_b FROM f",
+    "p5_found": f"WITH {_P5} SELECT file_path FROM chosen",
+    "p5_rows": f"""WITH {_P5} SELECT topic, "partition", "offset", id, name, description, price, on_offer, operation, processing_time, year, month, batch_id FROM item_changes
+        WHERE (year, month) IN (SELECT (year, month) FROM chosen) AND batch_id IN (SELECT batch_id FROM processed_batches WHERE batch_id IS NOT NULL)""",
+    "p6_found": f"""WITH {_P6} SELECT id, strftime(valid_from, '%Y-%m-%d %H:%M:%S') AS valid_from, coalesce(strftime(e, '%Y-%m-%d %H:%M:%S'), 'open') AS valid_to FROM v JOIN grid ON grid.slot = v.s2""",
+    "p6_versions": f"""WITH {_P6} SELECT v.id, k.price, k.on_offer, valid_from, grid.e AS valid_to FROM v JOIN grid ON grid.slot = v.s2 JOIN k ON k.id = v.id AND k.t = v.valid_from""",
+}
