@@ -82,8 +82,11 @@ class ChangeTable:
             payload = routed.drop(_BUCKET, _CELL).schema.json()
         stored = base["properties"].get("rows", {})
         splits = [max(1, -(-(rows.get(b, 0) + stored.get(str(b), 0)) // self.split_rows)) for b in range(self.buckets)]
-        sub = F.lit(0) if max(splits) == 1 else F.pmod(c(_CELL), F.element_at(F.array(*map(F.lit, splits)), c(_BUCKET) + 1))
-        merged = self._first(routed.withColumn(_SUB, sub).drop(_CELL).repartition(_BUCKET, _SUB), [_BUCKET, _SUB, self.key, *self.message])
+        place = [_BUCKET]
+        if max(splits) > 1:
+            place, routed = [_BUCKET, _SUB], routed.withColumn(_SUB, F.pmod(c(_CELL), F.element_at(F.array(*map(F.lit, splits)), c(_BUCKET) + 1)))
+        # the window finds its rows together already, as the shuffle's columns are among its own
+        merged = self._first(routed.drop(_CELL).repartition(*place), [*place, self.key, *self.message])
         log = self.table.write_part(merged.drop(_SUB), _BUCKET)
         parts = {k: list(v) for k, v in base["parts"].items()}
         logs = self.table.buckets_of(log)
