@@ -13,6 +13,8 @@ As a listing does not tell which rows a file holds, a group is rewritten whole,
 Scale: the histogram has at most 2^cell_bits rows for each group and is combined before it is shuffled; the file
 plan it gives goes to the driver and is broadcast, both below `MAX_CELLS` rows, or the run is refused with advice.
 A cell with more rows than a file may hold is split by row digest, so a hot value does not make a hot file.
+The sets of groups and of recorded batches are counted and broadcast while they are small (see
+`checked_broadcast`), so wide rows are shuffled only once, to their files.
 
 Nulls and the like: null dimensions have the least coordinate; rows with a null batch belong to no recorded run;
 null partition values make a group of their own; equal rows are kept as often as they occur; an empty plan
@@ -30,6 +32,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import c
+from tidemark.functions.joins import checked_broadcast
 from tidemark.store import SnapshotTable
 
 MAX_CELLS = 2_000_000
@@ -150,7 +153,7 @@ class Compactor:
         groups = named.select(*map(c, self.group)).distinct().withColumns({f"pack_g{i}": c(g) for i, g in enumerate(self.group)}).drop(*self.group)
         done = batches.select(F.col("batch_id").alias("pack_b")).where("pack_b IS NOT NULL").distinct()
         in_group = [c(g).eqNullSafe(F.col(f"pack_g{i}")) for i, g in enumerate(self.group)]
-        scope = rows.join(groups, in_group, "left_semi").join(done, F.col("batch_id") == F.col("pack_b"), "left_semi")
+        scope = rows.join(checked_broadcast(groups), in_group, "left_semi").join(checked_broadcast(done), F.col("batch_id") == F.col("pack_b"), "left_semi")
         coded = self._coded(scope)
         d1, d2 = row_digests(rows)
         histogram = coded.groupBy(*map(c, self.group), _CELL).agg(F.count("*").alias("n"), F.sum(d1.cast("decimal(38,0)")).alias(_D1), F.bit_xor(d2).alias(_D2))
