@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import encode, packing
+from tidemark.llm import encode, packing, quality
 from tidemark.session import work_dir
 from tidemark.sources.tables import table
 
@@ -28,6 +28,14 @@ def p8_fill(spark: SparkSession, d: str) -> DataFrame:
     return by.agg(F.count("*").alias("containers"), F.sum("n").alias("tokens"), F.max("n").alias("most"), F.max("k").alias("most_documents"), (F.sum("n") / (F.count("*") * CAPACITY)).alias("filled"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p7_ids, p8_containers, p8_fill)}
+def p9_statistics(spark: SparkSession, d: str) -> DataFrame:
+    return quality.text_quality(table(spark, d, "documents"), table(spark, d, "common_words"))
+
+
+def p9_found(spark: SparkSession, d: str) -> DataFrame:
+    return p9_statistics(spark, d).where("not_prose").select("doc_id")
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p7_ids, p8_containers, p8_fill, p9_found, p9_statistics)}
 
 ORACLES: dict[str, str] = {}
