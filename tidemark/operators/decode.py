@@ -8,7 +8,8 @@ or price that is no 32-bit integer, an on_offer that is no boolean).
 Nulls and the like: bytes that are no UTF-8 are replaced before parsing; an absent `on_offer` is false, a JSON null
 stays null; other absent fields are null, unknown ones are dropped; a name or description of another JSON type is
 kept as its JSON text; `__deleted` of any type counts by its text in lower case; texts of any length are parsed
-whole; equal messages stay as they are; extra columns of the log are carried.
+whole; equal messages stay as they are; extra columns of the log are carried (names that start with `decode_`, `reason`
+and `item` are reserved).
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.columns import c, fresh
+from tidemark.functions.columns import c
 
 #: What counts as space at the ends of a value.
 SPACE = " \t\r\n\f\x0b"
@@ -26,30 +27,25 @@ SPACE = " \t\r\n\f\x0b"
 FALSY = ("null", "{}", "[]", '""', "0", "0.0", "false", "-0", "-0.0")
 
 
-def payload_of(text: Column) -> Column:
-    return F.try_variant_get(F.try_parse_json(text), "$.payload", "variant")
+def _stage(df: DataFrame, **columns: Column) -> DataFrame:
+    """Columns computed once, whatever is built on them.
 
-
-def _field(payload: Column, name: str) -> Column:
-    return F.try_variant_get(payload, f"$.{name}", "variant")
-
-
-def _json(value: Column) -> Column:
-    return F.to_json(value)
+    A later filter would otherwise be pushed below a projection with all its expressions spelled out, and parsing
+    would run again for each of their uses. A generator of one row stops that and stays in generated code.
+    """
+    return df.select("*", F.inline(F.array(F.struct(*(x.alias(n) for n, x in columns.items())))))
 
 
-def _integer(value: Column) -> Column:
-    t = _json(value)
-    return F.when(t.rlike(r"^-?\d{1,11}$"), t.try_cast("int"))
+def _integer(value: Column, text: Column) -> Column:
+    return F.when(text.rlike(r"^-?\d{1,11}$"), text.try_cast("int"))
 
 
-def _string(value: Column) -> Column:
-    t = _json(value)
-    return F.when(F.is_variant_null(value), F.lit(None).cast("string")).when(t.startswith('"'), F.try_variant_get(value, "$", "string")).otherwise(t)
+def _string(value: Column, text: Column) -> Column:
+    return F.when(text == "null", F.lit(None).cast("string")).when(text.startswith('"'), F.try_variant_get(value, "$", "string")).otherwise(text)
 
 
-def _bad(value: Column, typed: Column) -> Column:
-    return value.isNotNull() & ~F.is_variant_null(value) & typed.isNull()
+def _bad(text: Column, typed: Column) -> Column:
+    return text.isNotNull() & (text != "null") & typed.isNull()
 
 
 def classify(deleted: Column, key: Column) -> Column:
@@ -63,42 +59,42 @@ def with_partitions(df: DataFrame, time: str = "processing_time") -> DataFrame:
 
 
 def parse(log: DataFrame, value: str = "value") -> DataFrame:
-    """The log with `reason` (null if the message is good) and the item fields beside it.
-
-    Columns of the log that clash with these names keep them; the decoded ones are in the struct `item`.
-    """
+    """The log with `reason` (null if the message is good) and the decoded fields in the struct `item`."""
+    if any(x.lower().startswith("decode_") or x.lower() in ("reason", "item") for x in log.columns):
+        raise ValueError("reason, item and column names that start with decode_ are reserved")
     raw = c(value).cast("string")
     text = F.make_valid_utf8(raw) if log.schema[value].dataType.typeName() == "binary" else raw
-    t = fresh(log.columns, "decode_text")
-    p = fresh([*log.columns, t], "decode_payload")
-    df = log.withColumn(t, F.trim(text, F.lit(SPACE)))
-    df = df.withColumn(p, payload_of(c(t)))
-    pay = c(p)
-    as_json = _json(pay)
-    fields = {n: _field(pay, n) for n in ("id", "name", "description", "price", "on_offer", "__deleted")}
-    key, price = _integer(fields["id"]), _integer(fields["price"])
-    offer = F.try_variant_get(fields["on_offer"], "$", "boolean")
-    offer = F.when(_json(fields["on_offer"]).isin("true", "false"), offer)
-    bad_type = _bad(fields["id"], key) | _bad(fields["price"], price) | _bad(fields["on_offer"], offer)
+    col = lambda n: F.col(f"decode_{n}")
+    get = lambda v, n: F.try_variant_get(v, f"$.{n}", "variant")
+    names = ("id", "name", "description", "price", "on_offer", "__deleted")
+    df = _stage(log, decode_text=F.trim(text, F.lit(SPACE)))
+    df = _stage(df, decode_json=F.try_parse_json(col("text")))
+    df = _stage(df, decode_payload=get(col("json"), "payload"))
+    df = _stage(df, decode_payload_text=F.to_json(col("payload")), **{f"decode_{n}": get(col("payload"), n) for n in names})
+    df = _stage(df, **{f"decode_{n}_text": F.to_json(col(n)) for n in names})
+    string = lambda n: _string(col(n), col(f"{n}_text"))
+    key, price = _integer(col("id"), col("id_text")), _integer(col("price"), col("price_text"))
+    offer = F.when(col("on_offer_text") == "true", True).when(col("on_offer_text") == "false", False)
+    bad_type = _bad(col("id_text"), key) | _bad(col("price_text"), price) | _bad(col("on_offer_text"), offer)
     reason = (
         F.when(c(value).isNull(), "null")
-        .when(c(t) == "", "blank")
-        .when(c(t) == "empty", "empty")
-        .when(F.try_parse_json(c(t)).isNull(), "bad_json")
-        .when(pay.isNull() | F.is_variant_null(pay) | as_json.isin(*FALSY), "no_payload")
-        .when(~as_json.startswith("{"), "bad_payload")
+        .when(col("text") == "", "blank")
+        .when(col("text") == "empty", "empty")
+        .when(col("json").isNull(), "bad_json")
+        .when(col("payload_text").isNull() | col("payload_text").isin(*FALSY), "no_payload")
+        .when(~col("payload_text").startswith("{"), "bad_payload")
         .when(bad_type, "bad_type")
     )
-    deleted = F.coalesce(_string(fields["__deleted"]), F.lit("false"))
     item = F.struct(
         key.alias("id"),
-        _string(fields["name"]).alias("name"),
-        _string(fields["description"]).alias("description"),
+        string("name").alias("name"),
+        string("description").alias("description"),
         price.alias("price"),
-        F.when(fields["on_offer"].isNull(), F.lit(False)).otherwise(offer).alias("on_offer"),
-        classify(deleted, key).alias("operation"),
+        F.when(col("on_offer_text").isNull(), F.lit(False)).otherwise(offer).alias("on_offer"),
+        classify(F.coalesce(string("__deleted"), F.lit("false")), key).alias("operation"),
     )
-    return df.withColumn("reason", reason).withColumn("item", F.when(F.col("reason").isNull(), item)).drop(t, p)
+    df = _stage(df, reason=reason, item=item).drop(*(x for x in df.columns if x.startswith("decode_")))
+    return df.withColumn("item", F.when(F.col("reason").isNull(), F.col("item")))
 
 
 def decode(log: DataFrame, value: str = "value", time: Column | None = None, batch_id: str | None = None, keep: Sequence[str] = ("topic", "partition", "offset")) -> tuple[DataFrame, DataFrame]:
