@@ -85,7 +85,7 @@ def differences(spark: SparkSession, a: DataFrame, b: DataFrame, key: str, field
     words = key_dictionary(spark, a.where(c(key).isNotNull()), b.where(c(key).isNotNull()), key, f"{path}/keys")
 
     def side(df: DataFrame, name: str) -> DataFrame:
-        rows = df.where(c(key).isNotNull()).select(c(key).alias("key"), F.struct(*(c(f).alias(f"f{i}") for i, f in enumerate(fields))).alias(name))
+        rows = df.where(c(key).isNotNull()).select(c(key).alias("key"), F.struct(F.lit(True).alias("present"), *(c(f).alias(f"f{i}") for i, f in enumerate(fields))).alias(name))
         rows.join(words, "key").select("ordinal", name).write.parquet(f"{path}/{name}")
         return spark.read.parquet(f"{path}/{name}")
 
@@ -95,6 +95,8 @@ def differences(spark: SparkSession, a: DataFrame, b: DataFrame, key: str, field
     gone = verdicts.where("verdict IN ('only_a', 'only_b')").join(words, "ordinal").select(
         F.col("key"), F.when(F.col("verdict") == "only_a", missing_in_b).otherwise(missing_in_a).alias("field"), F.lit(None).cast("string").alias("value_a"), F.lit(None).cast("string").alias("value_b")
     )
+    if not fields:
+        return gone.withColumnRenamed("key", key)
     aligned = verdicts.where("verdict = 'both'").select("ordinal").join(sa, "ordinal").join(sb, "ordinal")
     cells = F.array(*(F.when(~F.col(f"a.f{i}").eqNullSafe(F.col(f"b.f{i}")), F.struct(F.lit(f).alias("field"), F.col(f"a.f{i}").cast("string").alias("value_a"), F.col(f"b.f{i}").cast("string").alias("value_b"))) for i, f in enumerate(fields)))
     differing = aligned.select("ordinal", F.array_compact(cells).alias("cells")).where(F.size("cells") > 0)

@@ -15,7 +15,7 @@ window, so repeated rows of one entity do not meet in a task; a window over an e
 times the times a slot was read again. The list of slots has a row for each snapshot.
 
 Nulls and the like: rows without entity or snapshot time are left out; null values are values, equal to each
-other; a null recorded time sorts before all others; of readings with the same recorded time and different
+other; a null recorded time counts as the year 1900; of readings with the same recorded time and different
 values the greatest counts; an entity that a snapshot does not list has no row for that slot; an empty table
 gives an empty ledger; other columns are not carried.
 """
@@ -32,7 +32,7 @@ from tidemark.functions.columns import c
 
 #: Columns of a ledger besides the entity's; `values` is a struct of the attributes.
 LEDGER = ("values", "slot_from", "slot_to", "recorded_from", "recorded_to")
-_FIRST = "timestamp'0001-01-01 00:00:00'"
+_FIRST = "timestamp'1900-01-01 00:00:00'"
 
 
 def slots(readings: DataFrame, at: str = "processing_time") -> DataFrame:
