@@ -71,6 +71,7 @@ PROFILES = {
     "row of entries": ("list", (0.1, 0.62, 0.03, 0.05, 0.2), (0.74, 0.06, 0.15, 0.03, 0.02, 0, 0, 0), (0, 0, 1, 0, 0)),
     "cells": ("table", (0.01, 0.3, 0.01, 0.2, 0.48), (0.5, 0.25, 0.1, 0.05, 0.1, 0, 0, 0), (0, 0, 0, 1, 0)),
     "framed cells": ("table", (0.01, 0.2, 0.01, 0.1, 0.68), (0.25, 0.12, 0.25, 0.28, 0.1, 0, 0, 0), (0, 0, 0, 1, 0)),
+    "cells of numbers": ("table", (0, 0.01, 0, 0.97, 0.02), (0, 0.77, 0.23, 0, 0, 0, 0, 0), (0, 0, 0, 1, 0)),
     "machine lines": ("machine", (0.01, 0.1, 0.01, 0.1, 0.78), (0.5, 0.3, 0.08, 0.05, 0.07, 0, 0, 0), (0, 0, 0, 0, 1)),
     "objects": ("machine", (0, 0.02, 0, 0.02, 0.96), (0.5, 0.12, 0.12, 0.18, 0.08, 0, 0, 0), (0, 0, 0, 0, 1)),
     "words without sentences": ("junk", (0.005, 0.96, 0.03, 0.005, 0), (0.86, 0, 0.13, 0.01, 0, 0, 0, 0), _PLAIN),
