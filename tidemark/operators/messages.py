@@ -48,9 +48,12 @@ def first_copies(df: DataFrame, key: Sequence[str] = MESSAGE_KEY, arrival: str =
 
 
 def repeated_messages(df: DataFrame, key: Sequence[str] = MESSAGE_KEY, arrival: str = "processing_time") -> DataFrame:
-    """Identifiers of the messages that have a second copy, each once."""
+    """Identifiers of the messages that have a second copy, each once.
+
+    Which copy is the second does not matter here, so only the identifier and the arrival are read and shuffled.
+    """
     rank = fresh(df.columns, "copy_no")
-    return ranked_copies(df, key, arrival, 2, rank).where(c(rank) == 2).select(*map(c, key))
+    return ranked_copies(df.select(*map(c, dict.fromkeys([*key, arrival]))), key, arrival, 2, rank).where(c(rank) == 2).select(*map(c, key))
 
 
 class MessageStore:
