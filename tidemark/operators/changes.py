@@ -10,8 +10,8 @@ copy that comes in a later run never makes an old change young again. `heads` ho
 change that decides (latest time, at equal times the greater offset, then topic and partition), deletes included
 as tombstones; the current rows are the heads that are no deletes.
 
-Skew: one pass over the keys counts rows by bucket and message cell (bounded by `buckets` x `CELLS` groups,
-combined before the shuffle). A bucket above `split_rows` is split by message hash into several tasks and files,
+Skew: one pass over the keys counts rows by bucket and message cell (at most `GROUPS` groups, combined
+before the shuffle). A bucket above `split_rows` is split by message hash into several tasks and files,
 so a key with a third of all rows is spread over tasks; heads are limited in each task before they are shuffled.
 A cell far above the others holds a message with very many copies; rows of such cells are first reduced by a
 window group limit, which works before the shuffle.
@@ -35,14 +35,15 @@ from tidemark.functions.columns import c, tie_break
 from tidemark.operators.messages import MESSAGE_KEY
 from tidemark.store import SnapshotTable
 
-CELLS = 512
+#: Groups of the counting pass, at most; bounds of the number of buckets that is chosen by size; bytes meant for one.
+GROUPS, LEAST_BUCKETS, MOST_BUCKETS, BUCKET_BYTES = 131_072, 64, 4096, 256 * 1024 * 1024
 _BUCKET, _SUB, _CELL, _RN, _DEL = "cow_bucket", "cow_sub", "cow_cell", "cow_rank", "cow_deleted"
 
 
 class ChangeTable:
-    """`buckets` fixes the layout when the table is made: choose it so that a bucket is some hundred MB."""
+    """`buckets` fixes the layout when the table is made; if it is not given, the size of the first changes decides."""
 
-    def __init__(self, spark: SparkSession, path: str, key: str = "id", time: str = "processing_time", operation: str = "operation", message: Sequence[str] = MESSAGE_KEY, buckets: int = 64, split_rows: int = 1_000_000):
+    def __init__(self, spark: SparkSession, path: str, key: str = "id", time: str = "processing_time", operation: str = "operation", message: Sequence[str] = MESSAGE_KEY, buckets: int | None = None, split_rows: int = 1_000_000):
         self.spark, self.table = spark, SnapshotTable(spark, path)
         self.key, self.time, self.operation, self.message = key, time, operation, tuple(message)
         self.buckets = self.table.manifest()["properties"].get("buckets", buckets)
@@ -52,7 +53,7 @@ class ChangeTable:
         if any(x.lower().startswith("cow_") for x in changes.columns):
             raise ValueError("column names that start with cow_ are reserved")
         return changes.where(c(self.key).isNotNull() & c(self.time).isNotNull()).withColumns(
-            {_BUCKET: F.pmod(F.xxhash64(c(self.key)), F.lit(self.buckets)).cast("int"), _CELL: F.pmod(F.xxhash64(*map(c, self.message)), F.lit(CELLS)).cast("int")}
+            {_BUCKET: F.pmod(F.xxhash64(c(self.key)), F.lit(self.buckets)).cast("int"), _CELL: F.pmod(F.xxhash64(*map(c, self.message)), F.lit(max(16, GROUPS // self.buckets))).cast("int")}
         )
 
     def _first(self, df: DataFrame, partition: list[str]) -> DataFrame:
@@ -66,8 +67,11 @@ class ChangeTable:
         done = base["properties"].get("batches", [])
         if batch is not None and batch in done:
             return base
+        if self.buckets is None:
+            size = int(changes._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+            self.buckets = min(MOST_BUCKETS, max(LEAST_BUCKETS, size // BUCKET_BYTES))
         routed = self._routed(changes)
-        counts = routed.groupBy(_BUCKET, _CELL).count().collect()  # at most buckets x CELLS groups
+        counts = routed.groupBy(_BUCKET, _CELL).count().collect()  # at most GROUPS
         rows: dict[int, int] = {}
         for b, _, n in counts:
             rows[b] = rows.get(b, 0) + n
@@ -84,7 +88,7 @@ class ChangeTable:
         splits = [max(1, -(-(rows.get(b, 0) + stored.get(str(b), 0)) // self.split_rows)) for b in range(self.buckets)]
         place = [_BUCKET]
         if max(splits) > 1:
-            place, routed = [_BUCKET, _SUB], routed.withColumn(_SUB, F.pmod(c(_CELL), F.element_at(F.array(*map(F.lit, splits)), c(_BUCKET) + 1)))
+            place, routed = [_BUCKET, _SUB], routed.withColumn(_SUB, F.pmod(F.xxhash64(*map(c, self.message), F.lit("sub")), F.element_at(F.array(*map(F.lit, splits)), c(_BUCKET) + 1)).cast("int"))
         # the window finds its rows together already, as the shuffle's columns are among its own
         merged = self._first(routed.drop(_CELL).repartition(*place), [*place, self.key, *self.message])
         log = self.table.write_part(merged.drop(_SUB), _BUCKET)

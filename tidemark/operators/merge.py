@@ -119,6 +119,14 @@ class MergeTable:
             return base
         if order:
             source = latest_per_key(source, self.key, order)
+        source = source.persist()  # a batch is read several times below
+        try:
+            return self._merge(base, source, number, origin, offsets)
+        finally:
+            source.unpersist()
+
+    def _merge(self, base: dict, source: DataFrame, number: int, origin: str, offsets: dict[str, int] | None) -> dict:
+        last = base["properties"].get("last", {})
         src = self._bucketed(source)
         touched = [r[0] for r in src.select(self.BUCKET).distinct().collect()]  # at most as many as buckets
         kind = base["schema"] or source.schema.json()
