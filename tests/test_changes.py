@@ -78,9 +78,12 @@ def test_hot_key_and_hot_message(spark, at):
     assert got == want
 
 
-def test_empty_and_reserved(spark, at):
-    t = ChangeTable(spark, at)
+def test_empty_tables_and_clashing_names(spark, at):
+    t = ChangeTable(spark, f"{at}/a")
     t.apply(spark.createDataFrame([], KIND))
     assert t.current().count() == 0
-    with pytest.raises(ValueError):
-        t.apply(spark.createDataFrame([], KIND + ", cow_bucket int"))
+    t = ChangeTable(spark, f"{at}/b", buckets=2)
+    t.apply(spark.createDataFrame([("t", 0, 1, 1, "n", "u", T0, "b", None)], KIND))
+    t.apply(spark.createDataFrame([("t", 0, 2, 2, "n", "u", T0, "b", None, 5, 6)], KIND + ", cow_bucket int, cow_rank int"))
+    t.apply(spark.createDataFrame([("t", 0, 3, 3, "n", "u", T0, "b", None)], KIND))
+    assert rows(t.current(), "id", "cow_bucket", "cow_rank") == [(1, None, None), (2, 5, 6), (3, None, None)]

@@ -2,6 +2,7 @@ from datetime import datetime
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tests.conftest import rows
 from tidemark.operators.compaction import Compactor, DigestMismatch, hilbert, plan
@@ -72,5 +73,10 @@ def test_nothing_to_do(spark, at):
     c = Compactor(spark, at)
     c.compact(data(spark), listing(spark).limit(0), spark.createDataFrame([], DONE))
     assert c.rows().count() == 0 and c.replaced().count() == 0
-    with pytest.raises(ValueError):
-        c.compact(data(spark).withColumnRenamed("text", "pack_x"), listing(spark), spark.createDataFrame([], DONE))
+
+
+def test_clashing_names(spark, at):
+    c = Compactor(spark, at)
+    d = data(spark, 200).withColumnsRenamed({"text": "pack_code"}).withColumn("PACK_g0", F.lit(1))
+    c.compact(d, listing(spark), spark.createDataFrame([("a",)], DONE))
+    assert rows(c.rows()) == rows(d.where("batch_id = 'a' AND month = '01'"))

@@ -68,6 +68,6 @@ def test_empty_log_and_names(spark, at):
     r = IncrementalReader(spark, at)
     r.run(log(spark), ledgers(spark, [], []))
     assert r.new_records().count() == 0
-    with pytest.raises(ValueError):
-        r.run(log(spark, ("t", 0, 1)).withColumnRenamed("extra", "position_low"))
+    r.run(log(spark, ("t", 0, 1)).withColumnsRenamed({"extra": "position_low", "value": "salt"}))
+    assert rows(r.new_records(), "position_low") == [("e",)]
     assert unplaced(log(spark, ("t", None, 1), ("t", 0, 1))).count() == 1

@@ -19,6 +19,16 @@ def fresh(taken: Iterable[str], base: str) -> str:
     return name
 
 
+def fresh_prefix(taken: Iterable[str], base: str) -> str:
+    """A prefix that no taken name starts with."""
+    low = {x.lower() for x in taken}
+    prefix, n = base + "_", 0
+    while any(x.startswith(prefix) for x in low):
+        n += 1
+        prefix = f"{base}{n}_"
+    return prefix
+
+
 def c(name: str) -> Column:
     """A column by its exact name, dots and spaces included."""
     return F.col("`" + name.replace("`", "``") + "`")

@@ -19,25 +19,24 @@ window group limit, which works before the shuffle.
 Nulls and the like: rows without key or time are left out (they cannot be ordered); rows without a part of the
 message identifier count as messages by the parts they have, nulls being equal; null operation, payload and
 batch id are values like others; operation is compared trimmed and in lower case, only `d` deletes; an empty
-change set commits nothing new but still makes version 1; extra columns are payload; reserved names start with
-`cow_` and are refused.
+change set commits nothing new but still makes version 1; extra columns are payload, whatever their names.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import json
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidemark.functions.columns import c, tie_break
+from tidemark.functions.columns import c, fresh_prefix, tie_break
 from tidemark.operators.messages import MESSAGE_KEY
 from tidemark.store import SnapshotTable
 
 #: Groups of the counting pass, at most; bounds of the number of buckets that is chosen by size; bytes meant for one.
 GROUPS, LEAST_BUCKETS, MOST_BUCKETS, BUCKET_BYTES = 131_072, 64, 4096, 256 * 1024 * 1024
-_BUCKET, _SUB, _CELL, _RN, _DEL = "cow_bucket", "cow_sub", "cow_cell", "cow_rank", "cow_deleted"
 
 
 class ChangeTable:
@@ -48,18 +47,22 @@ class ChangeTable:
         self.key, self.time, self.operation, self.message = key, time, operation, tuple(message)
         self.buckets = self.table.manifest()["properties"].get("buckets", buckets)
         self.split_rows = split_rows
+        self._name(())
+
+    def _name(self, columns: Iterable[str]) -> None:
+        """Names for the run's own columns that no column of the rows has; files are found by folder, not by these."""
+        p = fresh_prefix(columns, "cow")
+        self._bucket, self._sub, self._cell, self._rank = (p + x for x in ("bucket", "sub", "cell", "rank"))
 
     def _routed(self, changes: DataFrame) -> DataFrame:
-        if any(x.lower().startswith("cow_") for x in changes.columns):
-            raise ValueError("column names that start with cow_ are reserved")
         return changes.where(c(self.key).isNotNull() & c(self.time).isNotNull()).withColumns(
-            {_BUCKET: F.pmod(F.xxhash64(c(self.key)), F.lit(self.buckets)).cast("int"), _CELL: F.pmod(F.xxhash64(*map(c, self.message)), F.lit(max(16, GROUPS // self.buckets))).cast("int")}
+            {self._bucket: F.pmod(F.xxhash64(c(self.key)), F.lit(self.buckets)).cast("int"), self._cell: F.pmod(F.xxhash64(*map(c, self.message)), F.lit(max(16, GROUPS // self.buckets))).cast("int")}
         )
 
     def _first(self, df: DataFrame, partition: list[str]) -> DataFrame:
         """The earliest copy of every message; which one among equals is fixed by an order over all columns."""
         w = Window.partitionBy(*map(c, partition)).orderBy(c(self.time).asc(), *tie_break(df, [*partition, self.time]))
-        return df.withColumn(_RN, F.row_number().over(w)).where(c(_RN) == 1).drop(_RN)
+        return df.withColumn(self._rank, F.row_number().over(w)).where(c(self._rank) == 1).drop(self._rank)
 
     def apply(self, changes: DataFrame, batch: str | None = None) -> dict:
         """Merge changes in; a batch id that a manifest already names is skipped."""
@@ -67,51 +70,49 @@ class ChangeTable:
         done = base["properties"].get("batches", [])
         if batch is not None and batch in done:
             return base
+        self._name([*changes.columns, *(f["name"] for f in json.loads(base["schema"] or '{"fields": []}')["fields"])])
         if self.buckets is None:
             size = int(changes._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
             self.buckets = min(MOST_BUCKETS, max(LEAST_BUCKETS, size // BUCKET_BYTES))
         routed = self._routed(changes)
-        counts = routed.groupBy(_BUCKET, _CELL).count().collect()  # at most GROUPS
+        counts = routed.groupBy(self._bucket, self._cell).count().collect()  # at most GROUPS
         rows: dict[int, int] = {}
         for b, _, n in counts:
             rows[b] = rows.get(b, 0) + n
         hot = [(b, x) for b, x, n in counts if n > max(20_000, 20 * sum(rows.values()) / len(counts))]
         if hot:
-            is_hot = F.concat_ws("/", _BUCKET, _CELL).isin([f"{b}/{x}" for b, x in hot])
+            is_hot = F.concat_ws("/", self._bucket, self._cell).isin([f"{b}/{x}" for b, x in hot])
             routed = self._first(routed.where(is_hot), [self.key, *self.message]).unionByName(routed.where(~is_hot))
         payload = changes.schema.json()
         if base["schema"] is not None:
             old = [p for b in rows for p in base["parts"].get(f"log/{b}", [])]
             routed = routed.unionByName(self._routed(self.table.read(old, base["schema"])), allowMissingColumns=True)
-            payload = routed.drop(_BUCKET, _CELL).schema.json()
+            payload = routed.drop(self._bucket, self._cell).schema.json()
         stored = base["properties"].get("rows", {})
         splits = [max(1, -(-(rows.get(b, 0) + stored.get(str(b), 0)) // self.split_rows)) for b in range(self.buckets)]
-        place = [_BUCKET]
+        place = [self._bucket]
         if max(splits) > 1:
-            place, routed = [_BUCKET, _SUB], routed.withColumn(_SUB, F.pmod(F.xxhash64(*map(c, self.message), F.lit("sub")), F.element_at(F.array(*map(F.lit, splits)), c(_BUCKET) + 1)).cast("int"))
+            place, routed = [self._bucket, self._sub], routed.withColumn(self._sub, F.pmod(F.xxhash64(*map(c, self.message), F.lit("sub")), F.element_at(F.array(*map(F.lit, splits)), c(self._bucket) + 1)).cast("int"))
         # the window finds its rows together already, as the shuffle's columns are among its own
-        merged = self._first(routed.drop(_CELL).repartition(*place), [*place, self.key, *self.message])
-        log = self.table.write_part(merged.drop(_SUB), _BUCKET)
+        merged = self._first(routed.drop(self._cell).repartition(*place), [*place, self.key, *self.message])
+        log = self.table.write_part(merged.drop(self._sub), self._bucket)
         parts = {k: list(v) for k, v in base["parts"].items()}
         logs = self.table.buckets_of(log)
         parts |= {f"log/{b}": [p] for b, p in logs.items()}
-        heads = self.table.write_part(self._heads(self.table.read([log], self._with_bucket(payload))).repartition(_BUCKET).sortWithinPartitions(_BUCKET, c(self.key)), _BUCKET)
+        heads = self.table.write_part(self._heads(self.table.read([log], self._with_bucket(payload))).repartition(self._bucket).sortWithinPartitions(self._bucket, c(self.key)), self._bucket)
         parts |= {f"heads/{b}": [p] for b, p in self.table.buckets_of(heads).items()}
         kept = {str(b): stored.get(str(b), 0) + n for b, n in rows.items()}
         return self.table.commit(base, parts, payload, "apply", buckets=self.buckets, rows={**stored, **kept}, batches=done if batch is None else [*done, batch])
 
-    @staticmethod
-    def _with_bucket(payload: str) -> str:
-        import json
-
+    def _with_bucket(self, payload: str) -> str:
         kind = json.loads(payload)
-        kind["fields"] = [*kind["fields"], {"name": _BUCKET, "type": "integer", "nullable": True, "metadata": {}}]
+        kind["fields"] = [*kind["fields"], {"name": self._bucket, "type": "integer", "nullable": True, "metadata": {}}]
         return json.dumps(kind)
 
     def _heads(self, log: DataFrame) -> DataFrame:
         latest = [c(x).desc_nulls_last() for x in (self.time, self.message[-1], *self.message[:-1])]
-        w = Window.partitionBy(_BUCKET, c(self.key)).orderBy(*latest)
-        return log.withColumn(_RN, F.row_number().over(w)).where(c(_RN) == 1).drop(_RN)
+        w = Window.partitionBy(self._bucket, c(self.key)).orderBy(*latest)
+        return log.withColumn(self._rank, F.row_number().over(w)).where(c(self._rank) == 1).drop(self._rank)
 
     def current(self, version: int | None = None) -> DataFrame:
         """The rows that exist after all changes applied so far, each with the message that gave it."""

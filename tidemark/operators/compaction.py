@@ -18,7 +18,7 @@ The sets of groups and of recorded batches are counted and broadcast while they
 
 Nulls and the like: null dimensions have the least coordinate; rows with a null batch belong to no recorded run;
 null partition values make a group of their own; equal rows are kept as often as they occur; an empty plan
-commits an empty version; any extra columns are carried (names that start with `pack_` are reserved).
+commits an empty version; any extra columns are carried, whatever their names.
 """
 
 from __future__ import annotations
@@ -31,12 +31,11 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.columns import c
-from tidemark.functions.joins import checked_broadcast
+from tidemark.functions.columns import c, fresh_prefix
+from tidemark.functions.joins import BROADCAST_ROWS, checked_broadcast
 from tidemark.store import SnapshotTable
 
-MAX_CELLS = 2_000_000
-_CODE, _CELL, _FILE, _D1, _D2 = "pack_code", "pack_cell", "pack_file", "pack_sum", "pack_xor"
+MAX_CELLS = BROADCAST_ROWS
 
 
 class DigestMismatch(RuntimeError):
@@ -107,22 +106,27 @@ def _coordinate(x: Column, kind: str, lo, hi, bits: int) -> Column:
 
 class Compactor:
     def __init__(self, spark: SparkSession, path: str, group: Sequence[str] = ("year", "month"), dimensions: Sequence[str] = ("id", "processing_time"), bits: int = 16, cell_bits: int = 12, file_bytes: int = 128 * 1024 * 1024):
+        self._prefix = "pack_"
         self.spark, self.table = spark, SnapshotTable(spark, path)
         self.group, self.dimensions, self.bits, self.cell_bits, self.file_bytes = tuple(group), tuple(dimensions), bits, cell_bits, file_bytes
 
+    def _own(self, name: str) -> str:
+        """A column name of the run's own that no column of the rows has."""
+        return self._prefix + name
+
     def _coded(self, rows: DataFrame) -> DataFrame:
         kinds = {k: rows.schema[k].dataType.typeName() for k in self.dimensions}
         value = {k: F.unix_micros(c(k)) if kinds[k] == "timestamp" else c(k) for k in self.dimensions}
         ends = rows.agg(*(f(value[k]).alias(f"{n}{i}") for i, k in enumerate(self.dimensions) for n, f in (("lo", F.min), ("hi", F.max)))).first()
         at = [_coordinate(c(k), kinds[k], ends[f"lo{i}"], ends[f"hi{i}"], self.bits) for i, k in enumerate(self.dimensions)]
-        coded = rows.withColumn(_CODE, hilbert_column(at, self.bits))
-        return coded.withColumn(_CELL, F.shiftright(_CODE, max(0, self.bits * len(self.dimensions) - self.cell_bits)).cast("int"))
+        coded = rows.withColumn(self._own("code"), hilbert_column(at, self.bits))
+        return coded.withColumn(self._own("cell"), F.shiftright(self._own("code"), max(0, self.bits * len(self.dimensions) - self.cell_bits)).cast("int"))
 
     def _assign(self, cells: list, row_bytes: float) -> tuple[list, int]:
         """From exact cell counts: group, cell, first file, number of files of the cell; and the number of files."""
         by_group: dict[tuple, list] = defaultdict(list)
         for r in cells:
-            by_group[tuple(r[g] for g in self.group)].append((r[_CELL], r["n"]))
+            by_group[tuple(r[g] for g in self.group)].append((r[self._own("cell")], r[self._own("n")]))
         out, file = [], 0
         for g, counts in by_group.items():
             counts.sort()
@@ -145,43 +149,42 @@ class Compactor:
 
     def compact(self, rows: DataFrame, files: DataFrame, batches: DataFrame, row_bytes: float | None = None) -> dict:
         """Rewrite what the plan names; commit the new files and the list of those they replace."""
-        if any(x.lower().startswith("pack_") for x in rows.columns):
-            raise ValueError("column names that start with pack_ are reserved")
+        p = self._prefix = fresh_prefix(rows.columns, "pack")
         base = self.table.manifest()
         chosen = self.table.write_part(plan(files, batches, group=self.group))
         named = self.spark.read.parquet(f"{self.table.path}/{chosen}")
-        groups = named.select(*map(c, self.group)).distinct().withColumns({f"pack_g{i}": c(g) for i, g in enumerate(self.group)}).drop(*self.group)
-        done = batches.select(F.col("batch_id").alias("pack_b")).where("pack_b IS NOT NULL").distinct()
-        in_group = [c(g).eqNullSafe(F.col(f"pack_g{i}")) for i, g in enumerate(self.group)]
-        scope = rows.join(checked_broadcast(groups), in_group, "left_semi").join(checked_broadcast(done), F.col("batch_id") == F.col("pack_b"), "left_semi")
+        groups = named.select(*map(c, self.group)).distinct().withColumns({f"{p}g{i}": c(g) for i, g in enumerate(self.group)}).drop(*self.group)
+        done = batches.select(F.col("batch_id").alias(f"{p}b")).where(F.col(f"{p}b").isNotNull()).distinct()
+        in_group = [c(g).eqNullSafe(F.col(f"{p}g{i}")) for i, g in enumerate(self.group)]
+        scope = rows.join(checked_broadcast(groups), in_group, "left_semi").join(checked_broadcast(done), F.col("batch_id") == F.col(f"{p}b"), "left_semi")
         coded = self._coded(scope)
         d1, d2 = row_digests(rows)
-        histogram = coded.groupBy(*map(c, self.group), _CELL).agg(F.count("*").alias("n"), F.sum(d1.cast("decimal(38,0)")).alias(_D1), F.bit_xor(d2).alias(_D2))
+        histogram = coded.groupBy(*map(c, self.group), self._own("cell")).agg(F.count("*").alias(self._own("n")), F.sum(d1.cast("decimal(38,0)")).alias(self._own("sum")), F.bit_xor(d2).alias(self._own("xor")))
         cells = histogram.limit(MAX_CELLS + 1).collect()
         if len(cells) > MAX_CELLS:
             raise ValueError(f"more than {MAX_CELLS} cells; lower cell_bits")
         source: dict[tuple, list] = defaultdict(lambda: [0, 0, 0])
         for r in cells:
             s = source[tuple(r[g] for g in self.group)]
-            s[:] = s[0] + r["n"], s[1] + int(r[_D1]), s[2] ^ r[_D2]
+            s[:] = s[0] + r[self._own("n")], s[1] + int(r[self._own("sum")]), s[2] ^ r[self._own("xor")]
         if not cells:
             return self.table.commit(base, {}, rows.schema.json(), "compact", plan=chosen, extra_parts=[chosen], files=0, rows=0)
         if row_bytes is None:
             row_bytes = int(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()) / max(1, rows.count())
         assigned, n_files = self._assign(cells, row_bytes)
-        kinds = ", ".join(f"pack_g{i} {rows.schema[g].dataType.simpleString()}" for i, g in enumerate(self.group))
-        where = self.spark.createDataFrame(assigned, f"{kinds}, pack_c int, pack_first int, pack_k int")
-        routed = coded.join(F.broadcast(where), [*in_group, F.col(_CELL) == F.col("pack_c")])  # one row for each histogram cell
-        routed = routed.withColumn(_FILE, (F.col("pack_first") + F.pmod(d1, F.col("pack_k"))).cast("int"))
-        placed = routed.select(*map(c, rows.columns), _CODE, _FILE).repartitionById(n_files, F.col(_FILE))
-        part = self.table.write_part(placed.sortWithinPartitions(*map(c, self.group), _CODE).drop(_CODE, _FILE))
+        kinds = ", ".join(f"{p}g{i} {rows.schema[g].dataType.simpleString()}" for i, g in enumerate(self.group))
+        where = self.spark.createDataFrame(assigned, f"{kinds}, {p}c int, {p}first int, {p}k int")
+        routed = coded.join(F.broadcast(where), [*in_group, F.col(self._own("cell")) == F.col(f"{p}c")])  # one row for each histogram cell
+        routed = routed.withColumn(self._own("file"), (F.col(f"{p}first") + F.pmod(d1, F.col(f"{p}k"))).cast("int"))
+        placed = routed.select(*map(c, rows.columns), self._own("code"), self._own("file")).repartitionById(n_files, F.col(self._own("file")))
+        part = self.table.write_part(placed.sortWithinPartitions(*map(c, self.group), self._own("code")).drop(self._own("code"), self._own("file")))
         self._verify(self.table.read([part], rows.schema.json()), source)
         return self.table.commit(base, {"all": [part]}, rows.schema.json(), "compact", plan=chosen, extra_parts=[chosen], files=n_files, rows=sum(s[0] for s in source.values()))
 
     def _verify(self, written: DataFrame, source: dict) -> None:
         d1, d2 = row_digests(written)
-        got = written.groupBy(*map(c, self.group)).agg(F.count("*").alias("n"), F.sum(d1.cast("decimal(38,0)")).alias(_D1), F.bit_xor(d2).alias(_D2)).collect()
-        there = {tuple(r[g] for g in self.group): [r["n"], int(r[_D1]), r[_D2]] for r in got}
+        got = written.groupBy(*map(c, self.group)).agg(F.count("*").alias(self._own("n")), F.sum(d1.cast("decimal(38,0)")).alias(self._own("sum")), F.bit_xor(d2).alias(self._own("xor"))).collect()
+        there = {tuple(r[g] for g in self.group): [r[self._own("n")], int(r[self._own("sum")]), r[self._own("xor")]] for r in got}
         if there != dict(source):
             raise DigestMismatch(f"{self.table.path}: digests of {sum(there.get(g) != s for g, s in source.items())} groups differ")
 

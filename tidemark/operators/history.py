@@ -8,7 +8,8 @@ Snapshots cut the valid time into slots, each from one snapshot to the next. `bu
 entity and slot by the time they were recorded; each holds until the next. `apply` takes late updates to a ledger
 that exists: boundaries of the rows still held and of the updated slots are swept in order for each entity, which
 splits the overlapping rows into segments; segments under an update are replaced, their neighbours are carried.
-`versions` reads what is held now and joins neighbouring slots of equal values into versions.
+`from_readings` parts readings into those recorded before the next snapshot, which found the ledger, and the late
+ones, which are applied to it. `versions` reads what is held now and joins neighbouring slots of equal values.
 
 Scale: readings are reduced to one for each entity, slot and recorded time by partial aggregation before any
 window, so repeated rows of one entity do not meet in a task; a window over an entity holds at most its slots
@@ -96,6 +97,17 @@ def apply(ledger: DataFrame, df: DataFrame, grid: DataFrame, entity: str = "id",
     return old.unionByName(new).withColumnRenamed("entity", entity)
 
 
+def from_readings(df: DataFrame, grid: DataFrame, entity: str = "id", attributes: Sequence[str] = ("price", "on_offer"), at: str = "processing_time", recorded: str = "loaded_time") -> DataFrame:
+    """The ledger of readings made on time, with the late ones applied; a late one supersedes whatever its slot held."""
+    ends = grid.select(F.col("slot_at").alias("history_at"), F.col("slot_end").alias("history_end"))
+    names = [entity, *attributes, at, recorded]
+    marked = df.select(*map(c, names)).join(ends, c(at) == F.col("history_at")).withColumn("history_late", F.coalesce(c(recorded) >= F.col("history_end"), F.lit(False)))
+    on_time = marked.where(~F.col("history_late")).select(*map(c, names))
+    late = marked.where("history_late").select(*map(c, names))
+    args = (entity, attributes, at, recorded)
+    return apply(build(on_time, *args, grid=grid), late, grid, *args)
+
+
 def as_of(ledger: DataFrame, recorded: str | None = None) -> DataFrame:
     """What the ledger held at a recorded time; what it holds now if none is given."""
     if recorded is None:

@@ -11,8 +11,8 @@ ledger rows whose batch succeeded; a position below 0, or none, means from the b
 
 Nulls and the like: a message without topic, partition or offset has no place in the log; such rows are not
 returned (`unplaced` gives them). Messages read twice come once. Ledger rows with null batch ids never count.
-An empty log commits an empty version; an empty ledger means from the beginning. The reserved column names
-below are refused in the log; any other extra column is carried.
+An empty log commits an empty version; an empty ledger means from the beginning. Extra columns are carried,
+whatever their names.
 
 One topic partition may hold any share of the rows: the table of positions has a row for each topic partition,
 is written, counted and broadcast only below `BROADCAST_ROWS`; beyond that its rows are repeated under a salt
@@ -26,12 +26,13 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.functions.columns import c
 from tidemark.operators.messages import MESSAGE_KEY, first_copies
 from tidemark.store import SnapshotTable
 
 BROADCAST_ROWS = 200_000
 SALTS = 32
-_LOW, _HIGH, _SALT = "position_low", "position_high", "position_salt"
+_LOW, _HIGH = "position_low", "position_high"
 
 
 def ledger_positions(offsets: DataFrame, batches: DataFrame) -> DataFrame:
@@ -85,16 +86,16 @@ class IncrementalReader:
 
     def between(self, log: DataFrame, bounds: str) -> DataFrame:
         """The log's rows within written bounds."""
-        if clash := {_LOW, _HIGH, _SALT} & set(log.columns):
-            raise ValueError(f"reserved column names: {sorted(clash)}")
         b = self.spark.read.parquet(f"{self.table.path}/{bounds}")
+        # rows travel as a struct, so no column of theirs can clash with the bounds
+        rows = log.select("topic", "partition", "offset", F.struct(*(c(x) for x in log.columns)).alias("row"))
         if b.count() <= BROADCAST_ROWS:
-            joined = log.join(F.broadcast(b), ["topic", "partition"])
+            joined = rows.join(F.broadcast(b), ["topic", "partition"])
         else:
-            b = b.withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-            joined = log.withColumn(_SALT, F.pmod(F.xxhash64("offset"), F.lit(SALTS)).cast("int")).join(b, ["topic", "partition", _SALT])
+            b = b.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+            joined = rows.withColumn("salt", F.pmod(F.xxhash64("offset"), F.lit(SALTS)).cast("int")).join(b, ["topic", "partition", "salt"])
         new = joined.where((F.col(_LOW).isNull() | (F.col("offset") > F.col(_LOW))) & (F.col("offset") <= F.col(_HIGH)))
-        return new.select(*("`" + x.replace("`", "``") + "`" for x in log.columns))
+        return new.select("row.*")
 
     def new_records(self, version: int | None = None) -> DataFrame:
         """The output of one committed run (the latest unless told)."""

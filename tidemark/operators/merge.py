@@ -56,8 +56,11 @@ def merge(target: DataFrame, source: DataFrame, key: str = "id", operation: str
     """The target after the merge. plan: outer, broadcast, or auto (broadcast if the source is counted small)."""
     if tombstones not in ("insert", "ignore"):
         raise ValueError("tombstones: insert or ignore")
-    if plan == "auto":
-        plan = "broadcast" if source.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else "outer"
+    if plan != "outer":
+        small = source.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+        if plan == "broadcast" and not small:
+            raise ValueError(f"more than {BROADCAST_ROWS} source rows are not broadcast")
+        plan = "broadcast" if small else "outer"
     target, source = _aligned(target, source)
     return (_broadcast if plan == "broadcast" else _outer)(target, source, key, operation, tombstones, guard)
 
@@ -101,16 +104,12 @@ class MergeTable:
     is skipped, so replaying a batch, even one with deletes or null keys, changes nothing.
     """
 
-    BUCKET = "merge_bucket"
-
     def __init__(self, spark: SparkSession, path: str, key: str = "id", buckets: int = 16, tombstones: str = "insert", guard: str | None = None):
         self.spark, self.table, self.key, self.tombstones, self.guard = spark, SnapshotTable(spark, path), key, tombstones, guard
         self.buckets = self.table.manifest()["properties"].get("buckets", buckets)
 
     def _bucketed(self, df: DataFrame) -> DataFrame:
-        if self.BUCKET in df.columns:
-            raise ValueError(f"{self.BUCKET} is reserved")
-        return df.withColumn(self.BUCKET, F.pmod(F.xxhash64(c(self.key)), F.lit(self.buckets)).cast("int"))
+        return df.withColumn(fresh(df.columns, "merge_bucket"), F.pmod(F.xxhash64(c(self.key)), F.lit(self.buckets)).cast("int"))
 
     def merge_batch(self, source: DataFrame, number: int, origin: str = "stream", offsets: dict[str, int] | None = None, order: Sequence[str] | None = None) -> dict:
         base = self.table.manifest()
@@ -128,11 +127,13 @@ class MergeTable:
     def _merge(self, base: dict, source: DataFrame, number: int, origin: str, offsets: dict[str, int] | None) -> dict:
         last = base["properties"].get("last", {})
         src = self._bucketed(source)
-        touched = [r[0] for r in src.select(self.BUCKET).distinct().collect()]  # at most as many as buckets
+        touched = [r[0] for r in src.select(src.columns[-1]).distinct().collect()]  # at most as many as buckets
         kind = base["schema"] or source.schema.json()
         old = self.table.read([p for b in touched for p in base["parts"].get(str(b), [])], kind)
         merged = merge(old, source, self.key, tombstones=self.tombstones, guard=self.guard)
-        part = self.table.write_part(self._bucketed(merged).repartition(self.BUCKET).sortWithinPartitions(self.BUCKET), self.BUCKET)
+        placed = self._bucketed(merged)
+        bucket = placed.columns[-1]
+        part = self.table.write_part(placed.repartition(bucket).sortWithinPartitions(bucket), bucket)
         parts = {k: v for k, v in base["parts"].items() if int(k) not in touched}
         parts |= {b: [p] for b, p in self.table.buckets_of(part).items()}
         return self.table.commit(base, parts, merged.schema.json(), "merge", buckets=self.buckets, last={**last, origin: number}, offsets={**base["properties"].get("offsets", {}), **(offsets or {})})

@@ -71,22 +71,30 @@ def p5_rows(spark: SparkSession, d: str) -> DataFrame:
     return _compacted(spark, d).rows()
 
 
-def p6_found(spark: SparkSession, d: str) -> DataFrame:
+def _versions(spark: SparkSession, d: str) -> DataFrame:
     readings = table(spark, d, "item_snapshots")
     grid = history.slots(readings)
-    found = history.versions(history.as_of(history.build(readings, grid=grid)), grid)
+    return history.versions(history.as_of(history.from_readings(readings, grid)), grid)
+
+
+def p6_found(spark: SparkSession, d: str) -> DataFrame:
     text = lambda x: F.date_format(x, "yyyy-MM-dd HH:mm:ss")
-    return found.select("id", text("valid_from").alias("valid_from"), F.coalesce(text("valid_to"), F.lit("open")).alias("valid_to"))
+    return _versions(spark, d).select("id", text("valid_from").alias("valid_from"), F.coalesce(text("valid_to"), F.lit("open")).alias("valid_to"))
 
 
 def p6_versions(spark: SparkSession, d: str) -> DataFrame:
+    return _versions(spark, d).select("id", "values.price", "values.on_offer", "valid_from", "valid_to")
+
+
+def p6_ledger(spark: SparkSession, d: str) -> DataFrame:
+    """Everything the ledger ever held, with the times from and up to which it did."""
     readings = table(spark, d, "item_snapshots")
     grid = history.slots(readings)
-    found = history.versions(history.as_of(history.build(readings, grid=grid)), grid)
-    return found.select("id", "values.price", "values.on_offer", "valid_from", "valid_to")
+    ledger = history.build(readings, grid=grid).join(grid.select(F.col("slot").alias("slot_from"), "slot_at", "slot_end"), "slot_from")
+    return ledger.select("id", "values.price", "values.on_offer", F.col("slot_at").alias("valid_from"), F.col("slot_end").alias("valid_to"), "recorded_from", "recorded_to")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p2_found, p2_messages, p3_found, p3_current_items, p4_found, p4_values, p5_found, p5_rows, p6_found, p6_versions)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p2_found, p2_messages, p3_found, p3_current_items, p4_found, p4_values, p5_found, p5_rows, p6_found, p6_versions, p6_ledger)}
 
 ORACLES: dict[str, str] = {
     "p1_found": """
@@ -144,4 +152,11 @@ ORACLES |= {
         WHERE (year, month) IN (SELECT (year, month) FROM chosen) AND batch_id IN (SELECT batch_id FROM processed_batches WHERE batch_id IS NOT NULL)""",
     "p6_found": f"""WITH {_P6} SELECT id, strftime(valid_from, '%Y-%m-%d %H:%M:%S') AS valid_from, coalesce(strftime(e, '%Y-%m-%d %H:%M:%S'), 'open') AS valid_to FROM v JOIN grid ON grid.slot = v.s2""",
     "p6_versions": f"""WITH {_P6} SELECT v.id, k.price, k.on_offer, valid_from, grid.e AS valid_to FROM v JOIN grid ON grid.slot = v.s2 JOIN k ON k.id = v.id AND k.t = v.valid_from""",
+    "p6_ledger": """
+        WITH grid AS (SELECT t, lead(t) OVER (ORDER BY t) AS e FROM (SELECT DISTINCT processing_time AS t FROM item_snapshots WHERE processing_time IS NOT NULL)),
+        r AS (SELECT *, row_number() OVER (PARTITION BY id, processing_time, coalesce(loaded_time, TIMESTAMP '1900-01-01') ORDER BY price DESC NULLS LAST, on_offer DESC NULLS LAST) AS rn FROM item_snapshots WHERE id IS NOT NULL AND processing_time IS NOT NULL),
+        a AS (SELECT id, price, on_offer, processing_time AS t, coalesce(loaded_time, TIMESTAMP '1900-01-01') AS rec FROM r WHERE rn = 1),
+        b AS (SELECT *, row_number() OVER w AS k, lag(price) OVER w AS pp, lag(on_offer) OVER w AS po FROM a WINDOW w AS (PARTITION BY id, t ORDER BY rec)),
+        n AS (SELECT * FROM b WHERE k = 1 OR pp IS DISTINCT FROM price OR po IS DISTINCT FROM on_offer)
+        SELECT id, price, on_offer, n.t AS valid_from, e AS valid_to, rec AS recorded_from, lead(rec) OVER (PARTITION BY id, n.t ORDER BY rec) AS recorded_to FROM n JOIN grid ON n.t = grid.t""",
 }
