@@ -39,9 +39,12 @@ def test_ledgers(spark):
     assert rows(ledger.reset(led, "t"), "topic") == [("u",)]
     done = spark.createDataFrame([("a",), ("a",), (None,)], "batch_id string")
     assert ledger.seen(led, done).count() == 2 and ledger.unseen(led, done).count() == 3
+    odd = spark.createDataFrame([(None, 1, 0), (None, None, 0), (1, 5, 0), (1, 5, 1)], "p int, o bigint, batch_chunk int")
+    assert rows(ledger.microbatches(odd, ("p",), "o", 1)) == sorted([(None, 1, 0, 0), (None, None, 0, 1), (1, 5, 0, 0), (1, 5, 1, 1)], key=str)
     assert ledger.append(led, led.drop("batch_id")).count() == 10
-    b = ledger.microbatches(spark.range(250).selectExpr("id % 2 AS p", "id AS o"), ("p",), ("o",), 100)
-    assert rows(ledger.batch_end_offsets(b, ("p", "batch_no"), "o")) == [(0, 0, 198, 100), (0, 1, 248, 25), (1, 0, 199, 100), (1, 1, 249, 25)]
+    for chunk in (1_000_000, 30):
+        b = ledger.microbatches(spark.range(250).selectExpr("id % 2 AS p", "id AS o"), ("p",), "o", 100, chunk)
+        assert rows(ledger.batch_end_offsets(b, ("p", "batch_no"), "o")) == [(0, 0, 198, 100), (0, 1, 248, 25), (1, 0, 199, 100), (1, 1, 249, 25)]
 
 
 def test_upkeep(spark, at):

@@ -67,8 +67,7 @@ class ChangeTable:
     def apply(self, changes: DataFrame, batch: str | None = None) -> dict:
         """Merge changes in; a batch id that a manifest already names is skipped."""
         base = self.table.manifest()
-        done = base["properties"].get("batches", [])
-        if batch is not None and batch in done:
+        if batch is not None and self.table.has_batch(base, batch):
             return base
         self._name([*changes.columns, *(f["name"] for f in json.loads(base["schema"] or '{"fields": []}')["fields"])])
         if self.buckets is None:
@@ -102,7 +101,7 @@ class ChangeTable:
         heads = self.table.write_part(self._heads(self.table.read([log], self._with_bucket(payload))).repartition(self._bucket).sortWithinPartitions(self._bucket, c(self.key)), self._bucket)
         parts |= {f"heads/{b}": [p] for b, p in self.table.buckets_of(heads).items()}
         kept = {str(b): stored.get(str(b), 0) + n for b, n in rows.items()}
-        return self.table.commit(base, parts, payload, "apply", buckets=self.buckets, rows={**stored, **kept}, batches=done if batch is None else [*done, batch])
+        return self.table.commit(base, parts, payload, "apply", buckets=self.buckets, rows={**stored, **kept}, **({} if batch is None else self.table.with_batch(base, batch)))
 
     def _with_bucket(self, payload: str) -> str:
         kind = json.loads(payload)

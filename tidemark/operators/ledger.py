@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidemark.functions.columns import c
+from tidemark.functions.columns import c, fresh, tie_break
 from tidemark.operators.merge import latest_per_key
 
 
@@ -60,10 +60,20 @@ def unseen(rows: DataFrame, batches: DataFrame, batch: str = "batch_id") -> Data
     return rows.join(batches.select(c(batch)).where(c(batch).isNotNull()).distinct(), batch, "left_anti")
 
 
-def microbatches(rows: DataFrame, partition: Sequence[str], order: Sequence[str], size: int = 100) -> DataFrame:
-    """The rows with `batch_no`: each partition's log cut into batches of `size`, in order.
+def microbatches(rows: DataFrame, partition: Sequence[str], order: str, size: int = 100, chunk: int = 1_000_000) -> DataFrame:
+    """The rows with `batch_no`: each partition's log cut into batches of `size` rows, in the order of an integer offset.
 
-    Batches are per partition so that numbering needs no global order.
+    Rows are numbered within chunks of offsets, and counts of the chunks before are added, so one partition with
+    most of the log is numbered by many tasks. Rows without offset come last.
     """
-    w = Window.partitionBy(*map(c, partition)).orderBy(*map(c, order))
-    return rows.withColumn("batch_no", F.floor((F.row_number().over(w) - 1) / size).cast("bigint"))
+    of = fresh(rows.columns, "batch_chunk")
+    at = fresh(rows.columns, "batch_before")
+    tagged = rows.withColumn(of, F.coalesce(F.floor(c(order) / chunk).cast("bigint"), F.lit((1 << 62))))
+    keys = [*partition, of]
+    counts = tagged.groupBy(*map(c, keys)).agg(F.count("*").alias(at))
+    before = Window.partitionBy(*map(c, partition)).orderBy(c(of)).rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.select(*(c(k).alias(f"k{i}") for i, k in enumerate(keys)), F.coalesce(F.sum(c(at)).over(before), F.lit(0)).alias(at))
+    within = Window.partitionBy(*map(c, keys)).orderBy(c(order).asc_nulls_last(), *tie_break(rows, [*partition, order]))
+    numbered = tagged.withColumn("batch_no", F.row_number().over(within))
+    joined = numbered.join(counts, [c(k).eqNullSafe(F.col(f"k{i}")) for i, k in enumerate(keys)])
+    return joined.withColumn("batch_no", F.floor((F.col("batch_no") - 1 + c(at)) / size).cast("bigint")).select(*map(c, rows.columns), "batch_no")

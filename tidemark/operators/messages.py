@@ -69,8 +69,7 @@ class MessageStore:
 
     def add(self, batch: DataFrame, batch_id: str) -> dict:
         base = self.table.manifest()
-        done = base["properties"].get("batches", [])
-        if batch_id in done:
+        if self.table.has_batch(base, batch_id):
             return base
         new = first_copies(batch, self.key, self.arrival)
         if base["schema"] is not None:
@@ -79,7 +78,11 @@ class MessageStore:
             stored = self.table.live().where(_whole(self.key)).select(*map(c, self.key))
             stored = stored.where(c(last).between(lo, hi)) if lo is not None else stored.limit(0)
             new = new.join(stored, list(self.key), "left_anti").select(*map(c, batch.columns))
-        return self.table.append(new, "add", batches=[*done, batch_id])
+        return self.table.append(new, "add", **self.table.with_batch(base, batch_id))
 
     def rows(self) -> DataFrame:
         return self.table.live()
+
+    def compact(self, files: int | None = None) -> dict:
+        """Fold the parts of many batches into one."""
+        return self.table.compact(files)

@@ -283,18 +283,18 @@ _BATCHES = f"{_LOG}, b AS (SELECT *, CAST(floor((row_number() OVER (PARTITION BY
 
 @query(f"WITH {_BATCHES} SELECT partition_id, batch_no, max(seq) AS end_offset, count(*) AS records FROM b GROUP BY 1, 2")
 def batch_end_offsets(spark, d):
-    return ledger.batch_end_offsets(ledger.microbatches(log(spark, d), ("partition_id",), ("seq",)), ("partition_id", "batch_no"), "seq")
+    return ledger.batch_end_offsets(ledger.microbatches(log(spark, d), ("partition_id",), "seq"), ("partition_id", "batch_no"), "seq")
 
 
 @query(f"WITH {_BATCHES} SELECT partition_id, batch_no, count(*) AS records, count(DISTINCT id) AS ids, max(seq) AS last_seq FROM b GROUP BY 1, 2")
 def microbatch_assign(spark, d):
-    return ledger.microbatches(log(spark, d), ("partition_id",), ("seq",)).groupBy("partition_id", "batch_no").agg(F.count("*").alias("records"), F.count_distinct("id").alias("ids"), F.max("seq").alias("last_seq"))
+    return ledger.microbatches(log(spark, d), ("partition_id",), "seq").groupBy("partition_id", "batch_no").agg(F.count("*").alias("records"), F.count_distinct("id").alias("ids"), F.max("seq").alias("last_seq"))
 
 
 @query(f"""WITH {_BATCHES} SELECT topic, "partition", "offset", batch_id FROM kafka_offsets
   UNION ALL SELECT 'log', partition_id, max(seq), 'log-' || batch_no FROM b GROUP BY partition_id, batch_no""")
 def ledger_append(spark, d):
-    ends = ledger.batch_end_offsets(ledger.microbatches(log(spark, d), ("partition_id",), ("seq",)), ("partition_id", "batch_no"), "seq")
+    ends = ledger.batch_end_offsets(ledger.microbatches(log(spark, d), ("partition_id",), "seq"), ("partition_id", "batch_no"), "seq")
     new = ends.select(F.lit("log").alias("topic"), F.col("partition_id").alias("partition"), F.col("end_offset").alias("offset"), F.concat(F.lit("log-"), F.col("batch_no").cast("string")).alias("batch_id"))
     return ledger.append(table(spark, d, "kafka_offsets").select("topic", "partition", "offset", "batch_id"), new)
 
