@@ -41,7 +41,7 @@ MORE_WORDS = {
 }
 
 _WORD = re.compile(r"[^\W\d_]+")
-_BULLET = re.compile(r"\s*(?:[-*+•–—→▪◦‣·☐☑✓✔●○■□►»]|o(?= )|\[[ xX]?\]|\(?\w{1,3}[.)\]]|\[\w{1,3}\])\s+(?:\[[ xX]\]\s+)?(?=\S)")
+_BULLET = re.compile(r"\s*(?:[-*+•–—→▪◦‣·☐☑✓✔●○■□►»]|o(?= )|\[[ xX]?\]|\(?(?:\d{1,3}|[a-zA-Z]|[ivxIVX]{1,4})[.)\]]|\[\w{1,3}\])\s+(?:\[[ xX]\]\s+)?(?=\S)")
 _LEADER = re.compile(r"(?:\.{4,}|…{2,}|_{4,})\s*\d+\s*$")
 _PAIR = re.compile(r"\s*[\w.\-]{1,30}\s*[:=](?:\s|$)")
 _LOG = re.compile(r"\s*(?:\[?\d{4}-\d\d-\d\d[T ]\d\d:\d\d|\[?\d\d:\d\d:\d\d|(?:\S+ )?(?:INFO|WARN|WARNING|ERROR|DEBUG|TRACE|FATAL)\b)|.*\b\w+=\S+ \w+=")
@@ -198,10 +198,13 @@ class Block:
 def blocks(text: str) -> list[Block]:
     out: list[Block] = []
     letter_o = bool(_O_BULLETS.search(text))
-    for line in text.splitlines():
-        if not line.strip():
-            continue
-        at = layout(line, letter_o)
+    lines = [ln for ln in text.splitlines() if ln.strip()]
+    layouts = [layout(ln, letter_o) for ln in lines]
+    # one entry, or one row of cells, among lines of another layout is a line that looks like it
+    for kind in (1, 3):
+        if len(lines) > 1 and layouts.count(kind) == 1 and layouts.count(-1) == 0 and len(lines[at := layouts.index(kind)].split()) <= 12:
+            layouts[at] = 0
+    for line, at in zip(lines, layouts, strict=True):
         if at < 0:
             at = out[-1].at if out and out[-1].at else 3
         if not out or out[-1].at != at:
