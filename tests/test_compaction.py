@@ -80,3 +80,13 @@ def test_clashing_names(spark, at):
     d = data(spark, 200).withColumnsRenamed({"text": "pack_code"}).withColumn("PACK_g0", F.lit(1))
     c.compact(d, listing(spark), spark.createDataFrame([("a",)], DONE))
     assert rows(c.rows()) == rows(d.where("batch_id = 'a' AND month = '01'"))
+
+
+def test_many_recorded_batches_are_joined_by_shuffle(spark, at, monkeypatch):
+    import tidemark.functions.joins as joins
+
+    monkeypatch.setattr(joins, "BROADCAST_ROWS", 0)
+    c = Compactor(spark, at)
+    c.compact(data(spark, 500), listing(spark), spark.createDataFrame([("a",)], DONE))
+    assert rows(c.rows()) == rows(data(spark, 500).where("batch_id = 'a' AND month = '01'"))
+    assert len(c.table.orphans(older_than_s=-1)) == 0

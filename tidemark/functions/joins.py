@@ -9,6 +9,12 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 1_000_000
 
 
-def checked_broadcast(keys: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+def is_small(keys: DataFrame, rows: int | None = None) -> bool:
+    """Whether a table has at most so many rows; it is counted no further."""
+    rows = BROADCAST_ROWS if rows is None else rows
+    return keys.limit(rows + 1).count() <= rows
+
+
+def checked_broadcast(keys: DataFrame, rows: int | None = None) -> DataFrame:
     """The table marked for broadcast if it is counted small; as it is otherwise, for a shuffle join with skew handling."""
-    return F.broadcast(keys) if keys.limit(rows + 1).count() <= rows else keys
+    return F.broadcast(keys) if is_small(keys, rows) else keys

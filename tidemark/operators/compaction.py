@@ -14,7 +14,8 @@ Scale: the histogram has at most 2^cell_bits rows for each group and is combined
 plan it gives goes to the driver and is broadcast, both below `MAX_CELLS` rows, or the run is refused with advice.
 A cell with more rows than a file may hold is split by row digest, so a hot value does not make a hot file.
 The sets of groups and of recorded batches are counted and broadcast while they are small (see
-`checked_broadcast`), so wide rows are shuffled only once, to their files.
+`checked_broadcast`), so wide rows are shuffled only once, to their files; with more recorded batches than that,
+the rows in scope are selected by a shuffle join once and staged.
 
 Nulls and the like: null dimensions have the least coordinate; rows with a null batch belong to no recorded run;
 null partition values make a group of their own; equal rows are kept as often as they occur; an empty plan
@@ -32,7 +33,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import c, fresh_prefix
-from tidemark.functions.joins import BROADCAST_ROWS, checked_broadcast
+from tidemark.functions.joins import BROADCAST_ROWS, checked_broadcast, is_small
 from tidemark.store import SnapshotTable
 
 MAX_CELLS = BROADCAST_ROWS
@@ -156,7 +157,12 @@ class Compactor:
         groups = named.select(*map(c, self.group)).distinct().withColumns({f"{p}g{i}": c(g) for i, g in enumerate(self.group)}).drop(*self.group)
         done = batches.select(F.col("batch_id").alias(f"{p}b")).where(F.col(f"{p}b").isNotNull()).distinct()
         in_group = [c(g).eqNullSafe(F.col(f"{p}g{i}")) for i, g in enumerate(self.group)]
-        scope = rows.join(checked_broadcast(groups), in_group, "left_semi").join(checked_broadcast(done), F.col("batch_id") == F.col(f"{p}b"), "left_semi")
+        few = is_small(done)
+        scope = rows.join(checked_broadcast(groups), in_group, "left_semi").join(F.broadcast(done) if few else done, F.col("batch_id") == F.col(f"{p}b"), "left_semi")
+        staged = None
+        if not few:  # the join shuffles whole rows, so it is done once and its result is read from then on
+            staged = self.table.write_part(scope)
+            scope = self.table.read([staged], rows.schema.json())
         coded = self._coded(scope)
         d1, d2 = row_digests(rows)
         histogram = coded.groupBy(*map(c, self.group), self._own("cell")).agg(F.count("*").alias(self._own("n")), F.sum(d1.cast("decimal(38,0)")).alias(self._own("sum")), F.bit_xor(d2).alias(self._own("xor")))
@@ -179,6 +185,8 @@ class Compactor:
         placed = routed.select(*map(c, rows.columns), self._own("code"), self._own("file")).repartitionById(n_files, F.col(self._own("file")))
         part = self.table.write_part(placed.sortWithinPartitions(*map(c, self.group), self._own("code")).drop(self._own("code"), self._own("file")))
         self._verify(self.table.read([part], rows.schema.json()), source)
+        if staged:
+            self.table.files.delete(f"{self.table.path}/{staged}")
         return self.table.commit(base, {"all": [part]}, rows.schema.json(), "compact", plan=chosen, extra_parts=[chosen], files=n_files, rows=sum(s[0] for s in source.values()))
 
     def _verify(self, written: DataFrame, source: dict) -> None:
