@@ -66,3 +66,28 @@ def test_public_vocabulary_against_another_implementation():
     assert mine.encode_all(texts) == [other.encode_ordinary(t) for t in texts]
     assert [mine.encode(t) for t in texts] == [other.encode_ordinary(t) for t in texts]
     assert [other.decode(mine.encode(t)) for t in texts] == texts
+
+
+@settings(max_examples=500, deadline=None)
+@given(st.text(st.characters(max_codepoint=127), max_size=60))
+def test_both_patterns_split_ascii_alike(text):
+    import re
+
+    import regex
+
+    from tidemark.llm.encode import ASCII_PATTERN, PATTERN
+
+    assert re.findall(ASCII_PATTERN, text) == regex.findall(PATTERN, text)
+
+
+def test_every_ascii_character_between_others():
+    import re
+
+    import regex
+
+    from tidemark.llm.encode import ASCII_PATTERN, PATTERN
+
+    for a in map(chr, range(128)):
+        for b in ("", "a", "1", " ", "  ", "\n", "'", "'s", "\x1c", "_"):
+            for t in (a + b, b + a, b + a + b, a + b + a):
+                assert re.findall(ASCII_PATTERN, t) == regex.findall(PATTERN, t), repr(t)

@@ -12,6 +12,7 @@ Two forms give the same result: `merge_one` for a single piece, of any length, i
 from __future__ import annotations
 
 import base64
+from array import array
 
 import numpy as np
 
@@ -175,27 +176,31 @@ def _merge_class(pieces: list[bytes], width: int, ranks: PairRanks) -> tuple[np.
     return tok[:, :width][live], live.sum(axis=1)
 
 
-def merge_many(pieces: list[bytes], ranks: PairRanks) -> list[list[int]]:
-    """Tokens of each piece."""
-    out: list[list[int] | None] = [None] * len(pieces)
+def merge_packed(pieces: list[bytes], ranks: PairRanks) -> list[bytes]:
+    """Tokens of each piece, as 32-bit integers in bytes."""
+    out: list[bytes] = [b""] * len(pieces)
     classes: dict[int, list[int]] = {}
     for x, p in enumerate(pieces):
         n = len(p)
         if n > SHORT:
-            out[x] = merge_one(p, ranks)
+            out[x] = array("i", merge_one(p, ranks)).tobytes()
         else:
             classes.setdefault(max(2, 1 << max(0, n - 1).bit_length()), []).append(x)
     for width, at in classes.items():
         if len(at) < 16:
             for x in at:
-                out[x] = merge_one(pieces[x], ranks)
+                out[x] = array("i", merge_one(pieces[x], ranks)).tobytes()
             continue
         for lo in range(0, len(at), 8192):
             some = at[lo : lo + 8192]
             flat, counts = _merge_class([pieces[x] for x in some], width, ranks)
-            flat, ends = flat.tolist(), np.cumsum(counts).tolist()
-            begin = 0
-            for x, end in zip(some, ends, strict=True):
-                out[x] = flat[begin:end]
+            data, begin = flat.astype(np.int32).tobytes(), 0
+            for x, end in zip(some, (np.cumsum(counts) * 4).tolist(), strict=True):
+                out[x] = data[begin:end]
                 begin = end
     return out
+
+
+def merge_many(pieces: list[bytes], ranks: PairRanks) -> list[list[int]]:
+    """Tokens of each piece."""
+    return [np.frombuffer(x, np.int32).tolist() for x in merge_packed(pieces, ranks)]

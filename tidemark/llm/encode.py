@@ -13,6 +13,7 @@ column are read, whatever other columns there are.
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Iterator
 from itertools import islice
 
@@ -23,10 +24,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import c
-from tidemark.llm.bpe import PairRanks, merge_many, read_ranks
+from tidemark.llm.bpe import PairRanks, merge_packed, read_ranks
 
 #: How the public byte-level vocabularies split text before merging (a fixed value of the tokenizer).
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+#: The same for texts of ASCII characters only, which the standard library splits in half the time.
+ASCII_PATTERN = r"""'(?:[stmd]|re|ve|ll)| ?[A-Za-z]+| ?[0-9]+| ?[^\t-\r A-Za-z0-9]+|[\t-\r ]+(?![^\t-\r ])|[\t-\r ]+"""
 MAX_VOCABULARY = 64 * 1024 * 1024
 #: Pieces a worker remembers, and the longest it does; pieces it looks at together; characters it looks at together.
 CACHE, CACHED_LENGTH, RUN, TOGETHER = 200_000, 48, 200_000, 1_000_000
@@ -48,12 +51,15 @@ def vocabulary_path(name: str = "byte_bpe_50k.tiktoken") -> str:
 
 
 class Encoder:
+    """Encodes texts with a vocabulary; remembers the tokens of a bounded number of pieces, as 32-bit integers in bytes."""
+
     def __init__(self, ranks: dict[bytes, int], pattern: str = PATTERN):
-        self.ranks, self.find = PairRanks(ranks), regex.compile(pattern).findall
-        self.finditer = regex.compile(pattern).finditer
-        self.known: dict[str, list[int]] = {}
+        self.ranks = PairRanks(ranks)
+        self.general = regex.compile(pattern)
+        self.ascii = re.compile(ASCII_PATTERN) if pattern == PATTERN else self.general
+        self.known: dict[str, bytes] = {}
 
-    def _learn(self, pieces: set[str]) -> dict[str, list[int]]:
+    def _learn(self, pieces: set[str]) -> dict[str, bytes]:
         """Tokens of pieces that are not remembered; those too long to remember come back."""
         new = [p for p in pieces if p not in self.known]
         if not new:
@@ -61,22 +67,17 @@ class Encoder:
         if len(self.known) + len(new) > CACHE:
             self.known.clear()
             new = list(pieces)
-        tokens = merge_many([p.encode("utf-8", "replace") for p in new], self.ranks)
-        self.known.update((p, t) for p, t in zip(new, tokens, strict=True) if len(p) <= CACHED_LENGTH)
-        return {p: t for p, t in zip(new, tokens, strict=True) if len(p) > CACHED_LENGTH}
+        packed = merge_packed([p.encode("utf-8", "replace") for p in new], self.ranks)
+        self.known.update((p, t) for p, t in zip(new, packed, strict=True) if len(p) <= CACHED_LENGTH)
+        return {p: t for p, t in zip(new, packed, strict=True) if len(p) > CACHED_LENGTH}
 
-    def encode(self, text: str) -> list[int]:
-        """One text of any length."""
-        out: list[int] = []
-        it = self.finditer(text)
-        while run := [m.group() for m in islice(it, RUN)]:
-            long, known = self._learn(set(run)), self.known
-            out += [x for p in run for x in (known[p] if p in known else long[p])]
-        return out
+    def _joined(self, pieces: list[str], long: dict[str, bytes]) -> bytes:
+        known = self.known
+        return b"".join([known[p] if p in known else long[p] for p in pieces] if long else map(known.__getitem__, pieces))
 
-    def encode_all(self, texts: list[str | None]) -> list[list[int]]:
-        """Several texts; distinct pieces are merged together."""
-        out: list[list[int]] = []
+    def packed(self, texts: list[str | None]) -> list[bytes]:
+        """The tokens of each text, four bytes each; distinct pieces of neighbouring texts are merged together."""
+        out: list[bytes] = []
         lo = 0
         while lo < len(texts):
             hi, size = lo, 0
@@ -84,17 +85,28 @@ class Encoder:
                 size += len(texts[hi] or "")
                 hi += 1
             if size > TOGETHER:
-                out.append(self.encode(texts[lo]))
+                out.append(self._one(texts[lo]))
             else:
-                split = [self.find(t) if t else [] for t in texts[lo:hi]]
-                long, known = self._learn({p for s in split for p in s}), self.known
-                if long:
-                    out += [[x for p in s for x in (known[p] if p in known else long[p])] for s in split]
-                else:
-                    out += [[x for p in s for x in known[p]] for s in split]
+                split = [[] if not t else (self.ascii if t.isascii() else self.general).findall(t) for t in texts[lo:hi]]
+                long = self._learn({p for s in split for p in s})
+                out += [self._joined(s, long) for s in split]
             lo = hi
         return out
 
+    def _one(self, text: str) -> bytes:
+        """A text of any length, in runs of pieces."""
+        out: list[bytes] = []
+        it = (self.ascii if text.isascii() else self.general).finditer(text)
+        while run := [m.group() for m in islice(it, RUN)]:
+            out.append(self._joined(run, self._learn(set(run))))
+        return b"".join(out)
+
+    def encode(self, text: str) -> list[int]:
+        return np.frombuffer(self._one(text), np.int32).tolist()
+
+    def encode_all(self, texts: list[str | None]) -> list[list[int]]:
+        return [np.frombuffer(x, np.int32).tolist() for x in self.packed(texts)]
+
 
 def _encoder(shared) -> Encoder:
     """The worker's encoder of a broadcast vocabulary; kept between tasks."""
@@ -121,14 +133,13 @@ def _map(df: DataFrame, doc_id: str, text: str, path: str | None, pattern: str,
         for b in batches:
             for lo in range(0, b.num_rows, 2000):
                 part = b.slice(lo, 2000)
-                ids = encoder.encode_all(part.column(1).to_pylist())
-                sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+                ids = encoder.packed(part.column(1).to_pylist())
+                sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
                 if counts:
                     got = pa.array(sizes)
                 else:
                     ends = np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)
-                    flat = np.fromiter((x for i in ids for x in i), np.int32, int(ends[-1]))
-                    got = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
+                    got = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(ids), np.int32)))
                 yield pa.RecordBatch.from_arrays([part.column(0), got], ["id", "out"])
 
     kind = df.schema[doc_id].dataType.simpleString()
