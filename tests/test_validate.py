@@ -22,6 +22,12 @@ def test_checksums_do_not_depend_on_order(spark):
     for f in (v.table_checksum, v.table_digest):
         assert rows(f(a, a.columns)) == rows(f(a.orderBy(F.desc("id")), a.columns))
         assert rows(f(a, a.columns)) != rows(f(a.distinct(), a.columns))
+    many = spark.range(3000).selectExpr("IF(id % 3 = 0, 7, id) AS id")
+    for digits in (1, 2, 3, 5, None):
+        want = rows(v.table_checksum(many, ["id"], digits, leaf_rows=20))
+        assert want == rows(v.table_checksum(many.orderBy(F.desc("id")), ["id"], digits, leaf_rows=20))
+        assert want != rows(v.table_checksum(many.where("id <> 1000"), ["id"], digits, leaf_rows=20))
+    assert rows(v.table_checksum(a.limit(0), a.columns)) == rows(v.table_checksum(a.where("false"), a.columns))
     assert v.checksum_match(a, a, a.columns).first().is_valid
     assert not v.checksum_match(a, a.limit(1), a.columns).first().is_valid
     assert v.checksum_match(a.limit(0), a.limit(0), a.columns).first().is_valid

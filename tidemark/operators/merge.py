@@ -127,10 +127,11 @@ class MergeTable:
     def _merge(self, base: dict, source: DataFrame, number: int, origin: str, offsets: dict[str, int] | None) -> dict:
         last = base["properties"].get("last", {})
         src = self._bucketed(source)
-        touched = [r[0] for r in src.select(src.columns[-1]).distinct().collect()]  # at most as many as buckets
+        counts = src.groupBy(src.columns[-1]).count().collect()  # a row for each bucket
+        touched, small = [r[0] for r in counts], sum(r[1] for r in counts) <= BROADCAST_ROWS
         kind = base["schema"] or source.schema.json()
         old = self.table.read([p for b in touched for p in base["parts"].get(str(b), [])], kind)
-        merged = merge(old, source, self.key, tombstones=self.tombstones, guard=self.guard)
+        merged = (_broadcast if small else _outer)(*_aligned(old, source), self.key, "operation", self.tombstones, self.guard)
         placed = self._bucketed(merged)
         bucket = placed.columns[-1]
         part = self.table.write_part(placed.repartition(bucket).sortWithinPartitions(bucket), bucket)

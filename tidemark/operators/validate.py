@@ -36,12 +36,26 @@ def row_text(df: DataFrame, columns: Sequence[str]) -> Column:
     return F.concat_ws("#", *(F.coalesce(c(x).cast("string"), F.lit("")) for x in columns))
 
 
-def table_checksum(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """checksum: MD5 of all rows' texts in order, joined by commas; equal for equal tables, whatever the row order.
+def table_checksum(df: DataFrame, columns: Sequence[str], digits: int | None = None, leaf_rows: int = 50_000) -> DataFrame:
+    """checksum: an MD5 tree over the rows' texts; equal for equal tables, whatever the order of their rows.
 
-    It gathers every row's text in one place, so it is for tables of bounded size; `table_digest` is for the rest.
+    Texts, each with the number of rows that have it, are grouped by the first `digits` hexadecimal digits of their
+    MD5, so that a group has about `leaf_rows` of them; a group's checksum is the MD5 of its sorted texts, and groups
+    are joined by two digits at a time up to the root. Compare tables with the same `digits`; if it is not given, the
+    number of rows decides.
     """
-    return df.select(row_text(df, columns).alias("t")).agg(F.md5(F.array_join(F.sort_array(F.collect_list("t")), ",")).alias("checksum"))
+    if digits is None:
+        digits, n = 1, df.count()
+        while n > leaf_rows * 16**digits:
+            digits += 1
+    texts = df.select(row_text(df, columns).alias("t")).groupBy("t").agg(F.count("*").alias("n"))
+    one = F.concat(F.col("t"), F.lit("*"), F.col("n").cast("string"))
+    joined = lambda x: F.md5(F.array_join(F.sort_array(F.collect_list(x)), ","))
+    nodes = texts.groupBy(F.substring(F.md5("t"), 1, digits).alias("p")).agg(joined(one).alias("m"))
+    while digits > 2:
+        digits -= 2
+        nodes = nodes.groupBy(F.substring("p", 1, digits).alias("p")).agg(joined(F.concat("p", F.lit(":"), "m")).alias("m"))
+    return nodes.agg(joined(F.concat("p", F.lit(":"), "m")).alias("checksum"))
 
 
 def table_digest(df: DataFrame, columns: Sequence[str]) -> DataFrame:
