@@ -145,7 +145,19 @@ def reject_reasons(spark, d):
     return decode.reasons(table(spark, d, "events").select(value.otherwise('{"payload": {"id": 1}}').alias("value")))
 
 
-@query()
+#: The topic's messages with their fields as JSON, and why one is refused.
+_TOPIC = r"""a AS (SELECT *, CASE WHEN value IS NULL THEN NULL ELSE trim(coalesce(try(decode(value)), '{bad'), ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) END AS t FROM topic_log),
+  b AS (SELECT *, CASE WHEN json_valid(t) THEN json_extract(t, '$.payload') END AS p FROM a),
+  f AS (SELECT *, CAST(p AS VARCHAR) AS pt, json_extract(p, '$.id') AS jid, json_extract(p, '$.name') AS jname, json_extract(p, '$.description') AS jdesc, json_extract(p, '$.price') AS jprice,
+    json_extract(p, '$.on_offer') AS joffer, json_extract_string(p, '$.__deleted') AS jdel FROM b),
+  g AS (SELECT *, jid IS NOT NULL AND json_type(jid) <> 'NULL' AND (NOT regexp_full_match(CAST(jid AS VARCHAR), '-?\d{1,11}') OR try_cast(CAST(jid AS VARCHAR) AS INTEGER) IS NULL) AS bad_id,
+    jprice IS NOT NULL AND json_type(jprice) <> 'NULL' AND (NOT regexp_full_match(CAST(jprice AS VARCHAR), '-?\d{1,11}') OR try_cast(CAST(jprice AS VARCHAR) AS INTEGER) IS NULL) AS bad_price,
+    joffer IS NOT NULL AND json_type(joffer) NOT IN ('NULL', 'BOOLEAN') AS bad_offer FROM f),
+  m AS (SELECT *, CASE WHEN value IS NULL THEN 'null' WHEN t = '' THEN 'blank' WHEN t = 'empty' THEN 'empty' WHEN NOT json_valid(t) THEN 'bad_json'
+    WHEN pt IS NULL OR pt IN ('null', '{}', '[]', '""', '0', '0.0', 'false') THEN 'no_payload' WHEN json_type(p) <> 'OBJECT' THEN 'bad_payload' WHEN bad_id OR bad_price OR bad_offer THEN 'bad_type' ELSE 'ok' END AS reason FROM g)"""
+
+
+@query(f"WITH {_TOPIC} SELECT reason, count(*) AS n FROM m GROUP BY reason")
 def topic_log_reasons(spark, d):
     return decode.reasons(table(spark, d, "topic_log"))
 
@@ -244,7 +256,14 @@ def sink_rename_upsert(spark, d):
     return merge.merge(target, source.withColumn("operation", decode.classify(F.col("_deleted"), F.col("id")))).drop("operation")
 
 
-@query()
+@query(f"""WITH {_TOPIC}, i AS (SELECT topic, "partition", "offset", append_time AS processing_time, try_cast(CAST(jid AS VARCHAR) AS INTEGER) AS id,
+    CASE json_type(jname) WHEN 'VARCHAR' THEN json_extract_string(p, '$.name') WHEN 'NULL' THEN NULL ELSE CAST(jname AS VARCHAR) END AS name,
+    CASE json_type(jdesc) WHEN 'VARCHAR' THEN json_extract_string(p, '$.description') WHEN 'NULL' THEN NULL ELSE CAST(jdesc AS VARCHAR) END AS description,
+    try_cast(CAST(jprice AS VARCHAR) AS INTEGER) AS price, CASE WHEN joffer IS NULL THEN false WHEN json_type(joffer) = 'NULL' THEN NULL ELSE CAST(joffer AS VARCHAR) = 'true' END AS on_offer,
+    lower(coalesce(jdel, 'false')) = 'true' AS gone FROM m WHERE reason = 'ok'),
+  r AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY processing_time DESC NULLS LAST, "offset" DESC, "partition" DESC, topic DESC) AS rn FROM i)
+  SELECT id, name, description, price, on_offer, CASE WHEN id IS NULL THEN 'c' ELSE 'u' END AS operation, processing_time, strftime(processing_time, '%Y') AS year, strftime(processing_time, '%m') AS month, 'stream-0' AS batch_id
+  FROM r WHERE rn = 1 AND NOT gone""")
 def stream_current_items(spark, d):
     from tidemark.streaming.items import start
 
