@@ -33,14 +33,24 @@ from tidemark.functions.columns import c
 
 #: Columns of a ledger besides the entity's; `values` is a struct of the attributes.
 LEDGER = ("values", "slot_from", "slot_to", "recorded_from", "recorded_to")
+LOCAL_SLOTS = 10_000
 _FIRST = "timestamp'1900-01-01 00:00:00'"
 
 
 def slots(readings: DataFrame, at: str = "processing_time") -> DataFrame:
-    """slot, slot_at, slot_end: the snapshots in order; the last one ends at null."""
+    """slot, slot_at, slot_end: the snapshots in order; the last one ends at null.
+
+    Up to `LOCAL_SLOTS` snapshots are fetched once, so that the joins with them know how few they are and no reading
+    is shuffled for them; more stay distributed.
+    """
     order = Window.orderBy("slot_at")
     one = readings.where(c(at).isNotNull()).select(c(at).alias("slot_at")).distinct()
-    return one.select(F.row_number().over(order).alias("slot"), "slot_at", F.lead("slot_at").over(order).alias("slot_end"))
+    grid = one.select(F.row_number().over(order).alias("slot"), "slot_at", F.lead("slot_at").over(order).alias("slot_end"))
+    few = one.limit(LOCAL_SLOTS + 1).collect()
+    if len(few) > LOCAL_SLOTS:
+        return grid
+    times = sorted(r[0] for r in few)
+    return F.broadcast(readings.sparkSession.createDataFrame(list(zip(range(1, len(times) + 1), times, [*times[1:], None], strict=False)), grid.schema))
 
 
 def _readings(df: DataFrame, grid: DataFrame, entity: str, attributes: Sequence[str], at: str, recorded: str) -> DataFrame:
@@ -68,33 +78,30 @@ def apply(ledger: DataFrame, df: DataFrame, grid: DataFrame, entity: str = "id",
     """
     key = c(entity)
     upd = _readings(df, grid, entity, attributes, at, recorded).groupBy("entity", "slot").agg(F.max(F.struct("recorded", "values")).alias("u"))
-    upd = upd.select("entity", "slot", F.max("u.recorded").over(Window.partitionBy("entity")).alias("recorded"), "u.values")
-    held = ledger.where("recorded_to IS NULL").select(key.alias("entity"), *LEDGER)
-    rows = held.select("entity", F.col("slot_from").alias("pos"), F.struct("values", "recorded_from", "slot_from", "slot_to").alias("row"), F.lit(None).cast(upd.select(F.struct("recorded", "values")).schema[0].dataType).alias("upd"), F.lit(0).alias("ends"))
-    empty_row = F.lit(None).cast(rows.schema["row"].dataType)
-    ends = held.select("entity", F.col("slot_to").alias("pos"), empty_row.alias("row"), F.lit(None).cast(rows.schema["upd"].dataType).alias("upd"), F.lit(1).alias("ends"))
-    marks = upd.select("entity", F.col("slot").alias("pos"), empty_row.alias("row"), F.struct("recorded", "values").alias("upd"), F.lit(0).alias("ends"))
-    after = upd.select("entity", (F.col("slot") + 1).alias("pos"), empty_row.alias("row"), F.lit(None).cast(rows.schema["upd"].dataType).alias("upd"), F.lit(0).alias("ends"))
-    at_pos = rows.union(ends).union(marks).union(after).groupBy("entity", "pos").agg(F.max("row").alias("row"), F.max("upd").alias("upd"), F.max("ends").alias("ends"))
+    upd = upd.select("entity", "slot", F.struct(F.max("u.recorded").over(Window.partitionBy("entity")).alias("recorded"), F.col("u.values").alias("values")).alias("upd"))
+    held = ledger.where("recorded_to IS NULL").select(key.alias("entity"), F.struct("values", "recorded_from", "slot_from", "slot_to").alias("row"))
+    no_row, no_upd = (F.lit(None).cast(x.dataType) for x in (held.schema["row"], upd.schema["upd"]))
+    # every row and update marks where it begins and where it ends
+    mark = lambda pos, row, u: F.struct(pos.cast("int").alias("pos"), row.alias("row"), u.alias("upd"))
+    rows = held.select("entity", F.inline(F.array(mark(F.col("row.slot_from"), F.col("row"), no_upd), mark(F.col("row.slot_to"), no_row, no_upd))))
+    updates = upd.select("entity", F.inline(F.array(mark(F.col("slot"), no_row, F.col("upd")), mark(F.col("slot") + 1, no_row, no_upd))))
+    # one shuffle by entity serves the grouping and both windows
+    at_pos = rows.unionByName(updates).repartition("entity").groupBy("entity", "pos").agg(F.max("row").alias("row"), F.max("upd").alias("upd"))
     # sweep: at each boundary the row that is open there (rows held do not overlap), and the segment up to the next boundary
     sweep = Window.partitionBy("entity").orderBy("pos")
     segments = at_pos.withColumns({"open": F.last("row", ignorenulls=True).over(sweep), "next": F.lead("pos").over(sweep)}).withColumn("open", F.when(F.col("open.slot_to") > F.col("pos"), F.col("open")))
     differs = F.col("upd").isNotNull() & ~F.coalesce(F.col("open.values").eqNullSafe(F.col("upd.values")) & F.col("open").isNotNull(), F.lit(False))
-    segments = segments.withColumn("differs", differs).where("next IS NOT NULL").withColumn(
-        "cut", F.min(F.when(F.col("differs"), F.col("upd.recorded"))).over(Window.partitionBy("entity", "open.slot_from"))
-    )
-    touched = segments.where("open IS NOT NULL AND cut IS NOT NULL").groupBy("entity", F.col("open.slot_from").alias("slot_from")).agg(F.min("cut").alias("closed"))
-    new = segments.where(F.col("differs") | (F.col("open").isNotNull() & F.col("cut").isNotNull())).select(
-        "entity",
-        F.when(F.col("differs"), F.col("upd.values")).otherwise(F.col("open.values")).alias("values"),
-        F.col("pos").alias("slot_from"),
-        F.col("next").alias("slot_to"),
-        F.coalesce("upd.recorded", "cut").alias("recorded_from"),
-        F.lit(None).cast("timestamp").alias("recorded_to"),
+    segments = segments.withColumn("differs", differs).where("next IS NOT NULL").withColumn("cut", F.min(F.when(F.col("differs"), F.col("upd.recorded"))).over(Window.partitionBy("entity", "open.slot_from")))
+    out = lambda values, lo, hi, since, until: F.struct(values.alias("values"), lo.cast("int").alias("slot_from"), hi.cast("int").alias("slot_to"), since.alias("recorded_from"), until.cast("timestamp").alias("recorded_to"))
+    # a row that begins here stays, ended where an update supersedes it; its remains and the updates are new rows
+    kept = F.when(F.col("row").isNotNull(), out(F.col("row.values"), F.col("row.slot_from"), F.col("row.slot_to"), F.col("row.recorded_from"), F.when(F.col("open").isNotNull(), F.col("cut"))))
+    new = F.when(
+        F.col("differs") | (F.col("open").isNotNull() & F.col("cut").isNotNull()),
+        out(F.when(F.col("differs"), F.col("upd.values")).otherwise(F.col("open.values")), F.col("pos"), F.col("next"), F.when(F.col("differs"), F.coalesce("upd.recorded", "cut")).otherwise(F.col("cut")), F.lit(None)),
     )
-    closed = ledger.select(key.alias("entity"), *LEDGER).join(touched, ["entity", "slot_from"], "left")
-    old = closed.select("entity", "values", "slot_from", "slot_to", "recorded_from", F.when(F.col("recorded_to").isNull(), F.col("closed")).otherwise(F.col("recorded_to")).alias("recorded_to"))
-    return old.unionByName(new).withColumnRenamed("entity", entity)
+    swept = segments.select("entity", F.inline(F.array_compact(F.array(kept, new))))
+    old = ledger.where("recorded_to IS NOT NULL").select(key.alias("entity"), *(F.col(x).cast(swept.schema[x].dataType) for x in LEDGER))
+    return old.unionByName(swept).withColumnRenamed("entity", entity)
 
 
 def from_readings(df: DataFrame, grid: DataFrame, entity: str = "id", attributes: Sequence[str] = ("price", "on_offer"), at: str = "processing_time", recorded: str = "loaded_time") -> DataFrame:
