@@ -1,7 +1,7 @@
 """Change logs as streams: Kafka where its package is there, a Parquet log for tests and replays.
 
 The Parquet log stands in for a broker: its rows have topic, partition and offset, and reading it as a stream
-keeps track of files. Options for Kafka are built here so that both consumers of the reference have their form:
+keeps track of files. Options for Kafka are built here for both kinds of consumer:
 at least once from the latest offset, exactly once from the earliest with committed reads only.
 """
 
