@@ -90,3 +90,30 @@ def test_many_recorded_batches_are_joined_by_shuffle(spark, at, monkeypatch):
     c.compact(data(spark, 500), listing(spark), spark.createDataFrame([("a",)], DONE))
     assert rows(c.rows()) == rows(data(spark, 500).where("batch_id = 'a' AND month = '01'"))
     assert len(c.table.orphans(older_than_s=-1)) == 0
+
+
+def test_a_second_run_carries_the_other_groups(spark, at):
+    done = spark.createDataFrame([("a",)], DONE)
+    d = data(spark, 600)
+    c = Compactor(spark, at)
+    c.compact(d, listing(spark), done)
+    february = spark.createDataFrame([(f"h{i}", "2025", "02", "a", 100, None) for i in range(5)], FILES)
+    more = d.unionByName(spark.createDataFrame([("2025", "01", "b", 7, T, "late")], ROWS))
+    c.compact(more, february, done)
+    recorded = d.where("batch_id = 'a'")
+    assert rows(c.rows()) == rows(recorded)
+    c.compact(more, listing(spark).limit(0), done)  # an empty plan leaves all as it is
+    assert rows(c.rows()) == rows(recorded)
+    c.table.compact()  # one part for all groups
+    c.compact(more.where("id <> 5 OR month = '01'"), february, done)
+    assert rows(c.rows()) == rows(recorded.where("id <> 5 OR month = '01'"))
+
+
+def test_the_whole_table_has_every_recorded_row_once(spark, at):
+    d = data(spark, 600)
+    d = d.unionByName(d.limit(10)).unionByName(spark.createDataFrame([(None, None, "a", 1, T, "x"), ("2025", "01", "b", 2, T, "x")], ROWS))
+    c = Compactor(spark, at)
+    c.compact(d, listing(spark), spark.createDataFrame([("a",)], DONE))
+    assert rows(c.consolidated(d, spark.createDataFrame([("a",), ("a",), (None,)], DONE))) == rows(d.where("batch_id = 'a'"))
+    # a batch recorded after the rewrite comes from the source until the next one
+    assert rows(c.consolidated(d, spark.createDataFrame([("a",), ("b",)], DONE))) == rows(d.where("batch_id IN ('a', 'b')"))

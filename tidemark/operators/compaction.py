@@ -9,6 +9,9 @@ manifest committed, with the list of replaced files. A row of a recorded run is
 the source stay copies, rows of runs without a record do not come along.
 
 As a listing does not tell which rows a file holds, a group is rewritten whole, from the rows of recorded runs.
+A manifest names the parts of each group, so a run replaces the groups it rewrites and carries all others.
+`rows` reads the groups rewritten so far, `consolidated` the whole table: it adds the rows of recorded runs that
+no rewrite holds yet.
 
 Scale: the histogram has at most 2^cell_bits rows for each group and is combined before it is shuffled; the file
 plan it gives goes to the driver and is broadcast, both below `MAX_CELLS` rows, or the run is refused with advice.
@@ -24,6 +27,7 @@ commits an empty version; any extra columns are carried, whatever their names.
 
 from __future__ import annotations
 
+import json
 from collections import defaultdict
 from collections.abc import Sequence
 
@@ -31,6 +35,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidemark.functions.columns import c, fresh_prefix
 from tidemark.functions.joins import BROADCAST_ROWS, checked_broadcast, is_small
@@ -115,6 +120,17 @@ class Compactor:
         """A column name of the run's own that no column of the rows has."""
         return self._prefix + name
 
+    def _key(self, values: Sequence) -> str:
+        """The name of a group in a manifest."""
+        return json.dumps([*values], default=str)
+
+    def _carried(self, base: dict, planned: set[str], groups: DataFrame, in_group: list[Column]) -> dict[str, list[str]]:
+        """The parts of the groups that this run does not rewrite."""
+        carried = {k: v for k, v in base["parts"].items() if k.startswith("[") and k not in planned}
+        if mixed := [x for k, v in base["parts"].items() if not k.startswith("[") for x in v]:  # parts of several groups, as the table's own upkeep writes them
+            carried["all"] = [self.table.write_part(self.table.read(mixed, base["schema"]).join(groups, in_group, "left_anti"))]
+        return carried
+
     def _coded(self, rows: DataFrame) -> DataFrame:
         kinds = {k: rows.schema[k].dataType.typeName() for k in self.dimensions}
         value = {k: F.unix_micros(c(k)) if kinds[k] == "timestamp" else c(k) for k in self.dimensions}
@@ -150,13 +166,19 @@ class Compactor:
 
     def compact(self, rows: DataFrame, files: DataFrame, batches: DataFrame, row_bytes: float | None = None) -> dict:
         """Rewrite what the plan names; commit the new files and the list of those they replace."""
-        p = self._prefix = fresh_prefix(rows.columns, "pack")
         base = self.table.manifest()
+        older = StructType.fromJson(json.loads(base["schema"])).fields if base["schema"] else []
+        p = self._prefix = fresh_prefix([*rows.columns, *(f.name for f in older)], "pack")
+        schema = StructType([*rows.schema.fields, *(f for f in older if f.name not in rows.columns)]).json()
         chosen = self.table.write_part(plan(files, batches, group=self.group))
         named = self.spark.read.parquet(f"{self.table.path}/{chosen}")
         groups = named.select(*map(c, self.group)).distinct().withColumns({f"{p}g{i}": c(g) for i, g in enumerate(self.group)}).drop(*self.group)
         done = batches.select(F.col("batch_id").alias(f"{p}b")).where(F.col(f"{p}b").isNotNull()).distinct()
         in_group = [c(g).eqNullSafe(F.col(f"{p}g{i}")) for i, g in enumerate(self.group)]
+        planned = {self._key(r) for r in groups.limit(MAX_CELLS + 1).collect()}
+        if len(planned) > MAX_CELLS:
+            raise ValueError(f"more than {MAX_CELLS} groups")
+        parts = self._carried(base, planned, groups, in_group)
         few = is_small(done)
         scope = rows.join(checked_broadcast(groups), in_group, "left_semi").join(F.broadcast(done) if few else done, F.col("batch_id") == F.col(f"{p}b"), "left_semi")
         staged = None
@@ -174,20 +196,24 @@ class Compactor:
             s = source[tuple(r[g] for g in self.group)]
             s[:] = s[0] + r[self._own("n")], s[1] + int(r[self._own("sum")]), s[2] ^ r[self._own("xor")]
         if not cells:
-            return self.table.commit(base, {}, rows.schema.json(), "compact", plan=chosen, extra_parts=[chosen], files=0, rows=0)
+            return self.table.commit(base, parts, schema, "compact", plan=chosen, extra_parts=[chosen], files=0, rows=0)
         if row_bytes is None:
             row_bytes = int(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()) / max(1, rows.count())
         assigned, n_files = self._assign(cells, row_bytes)
         kinds = ", ".join(f"{p}g{i} {rows.schema[g].dataType.simpleString()}" for i, g in enumerate(self.group))
-        where = self.spark.createDataFrame(assigned, f"{kinds}, {p}c int, {p}first int, {p}k int")
+        number = {g: i for i, g in enumerate(source)}
+        where = self.spark.createDataFrame([(*a, number[a[: len(self.group)]]) for a in assigned], f"{kinds}, {p}c int, {p}first int, {p}k int, {p}part int")
         routed = coded.join(F.broadcast(where), [*in_group, F.col(self._own("cell")) == F.col(f"{p}c")])  # one row for each histogram cell
         routed = routed.withColumn(self._own("file"), (F.col(f"{p}first") + F.pmod(d1, F.col(f"{p}k"))).cast("int"))
-        placed = routed.select(*map(c, rows.columns), self._own("code"), self._own("file")).repartitionById(n_files, F.col(self._own("file")))
-        part = self.table.write_part(placed.sortWithinPartitions(*map(c, self.group), self._own("code")).drop(self._own("code"), self._own("file")))
-        self._verify(self.table.read([part], rows.schema.json()), source)
+        placed = routed.select(*map(c, rows.columns), self._own("code"), self._own("file"), self._own("part")).repartitionById(n_files, F.col(self._own("file")))
+        # a file has rows of one group only, so writing by group makes no more files
+        part = self.table.write_part(placed.sortWithinPartitions(self._own("part"), self._own("code")).drop(self._own("code"), self._own("file")), self._own("part"))
+        folders = self.table.buckets_of(part)
+        self._verify(self.table.read([*folders.values()], rows.schema.json()), source)
         if staged:
             self.table.files.delete(f"{self.table.path}/{staged}")
-        return self.table.commit(base, {"all": [part]}, rows.schema.json(), "compact", plan=chosen, extra_parts=[chosen], files=n_files, rows=sum(s[0] for s in source.values()))
+        parts |= {self._key(g): [folders[str(i)]] for g, i in number.items()}
+        return self.table.commit(base, parts, schema, "compact", plan=chosen, extra_parts=[chosen], files=n_files, rows=sum(s[0] for s in source.values()))
 
     def _verify(self, written: DataFrame, source: dict) -> None:
         d1, d2 = row_digests(written)
@@ -201,4 +227,20 @@ class Compactor:
         return self.spark.read.parquet(f"{self.table.path}/{self.table.manifest(version)['properties']['plan']}")
 
     def rows(self) -> DataFrame:
+        """The rows of all groups rewritten so far."""
         return self.table.live()
+
+    def consolidated(self, rows: DataFrame, batches: DataFrame) -> DataFrame:
+        """The whole table, every row of a recorded run once.
+
+        rows, batches: those of the last run or younger ones. A recorded batch gets no more rows, so a batch and group
+        that the new files hold is read from them, any other from `rows`.
+        """
+        new = self.rows()
+        p = fresh_prefix([*rows.columns, *new.columns], "pack")
+        done = batches.select(F.col("batch_id").alias(f"{p}b")).where(F.col(f"{p}b").isNotNull()).distinct()
+        held = new.select(*(c(g).alias(f"{p}g{i}") for i, g in enumerate(self.group)), F.col("batch_id").alias(f"{p}b")).distinct()
+        at = F.col("batch_id") == F.col(f"{p}b")
+        recorded = rows.join(checked_broadcast(done), at, "left_semi")
+        left = recorded.join(checked_broadcast(held), [*(c(g).eqNullSafe(F.col(f"{p}g{i}")) for i, g in enumerate(self.group)), at], "left_anti")
+        return left.unionByName(new, allowMissingColumns=True)

@@ -71,6 +71,11 @@ def p5_rows(spark: SparkSession, d: str) -> DataFrame:
     return _compacted(spark, d).rows()
 
 
+def p5_table(spark: SparkSession, d: str) -> DataFrame:
+    """Every row of a recorded run, those of groups that are not worth a rewrite included."""
+    return _compacted(spark, d).consolidated(table(spark, d, "item_changes"), table(spark, d, "processed_batches"))
+
+
 def _versions(spark: SparkSession, d: str) -> DataFrame:
     readings = table(spark, d, "item_snapshots")
     grid = history.slots(readings)
@@ -94,7 +99,7 @@ def p6_ledger(spark: SparkSession, d: str) -> DataFrame:
     return ledger.select("id", "values.price", "values.on_offer", F.col("slot_at").alias("valid_from"), F.col("slot_end").alias("valid_to"), "recorded_from", "recorded_to")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p2_found, p2_messages, p3_found, p3_current_items, p4_found, p4_values, p5_found, p5_rows, p6_found, p6_versions, p6_ledger)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p2_found, p2_messages, p3_found, p3_current_items, p4_found, p4_values, p5_found, p5_rows, p5_table, p6_found, p6_versions, p6_ledger)}
 
 ORACLES: dict[str, str] = {
     "p1_found": """
@@ -150,6 +155,8 @@ ORACLES |= {
     "p5_found": f"WITH {_P5} SELECT file_path FROM chosen",
     "p5_rows": f"""WITH {_P5} SELECT topic, "partition", "offset", id, name, description, price, on_offer, operation, processing_time, year, month, batch_id FROM item_changes
         WHERE (year, month) IN (SELECT (year, month) FROM chosen) AND batch_id IN (SELECT batch_id FROM processed_batches WHERE batch_id IS NOT NULL)""",
+    "p5_table": """SELECT topic, "partition", "offset", id, name, description, price, on_offer, operation, processing_time, year, month, batch_id FROM item_changes
+        WHERE batch_id IN (SELECT batch_id FROM processed_batches WHERE batch_id IS NOT NULL)""",
     "p6_found": f"""WITH {_P6} SELECT id, strftime(valid_from, '%Y-%m-%d %H:%M:%S') AS valid_from, coalesce(strftime(e, '%Y-%m-%d %H:%M:%S'), 'open') AS valid_to FROM v JOIN grid ON grid.slot = v.s2""",
     "p6_versions": f"""WITH {_P6} SELECT v.id, k.price, k.on_offer, valid_from, grid.e AS valid_to FROM v JOIN grid ON grid.slot = v.s2 JOIN k ON k.id = v.id AND k.t = v.valid_from""",
     "p6_ledger": """
