@@ -117,3 +117,16 @@ def test_the_whole_table_has_every_recorded_row_once(spark, at):
     assert rows(c.consolidated(d, spark.createDataFrame([("a",), ("a",), (None,)], DONE))) == rows(d.where("batch_id = 'a'"))
     # a batch recorded after the rewrite comes from the source until the next one
     assert rows(c.consolidated(d, spark.createDataFrame([("a",), ("b",)], DONE))) == rows(d.where("batch_id IN ('a', 'b')"))
+
+
+def test_large_files_of_rewritten_groups_are_superseded(spark, at):
+    files = listing(
+        spark, ("big", "2025", "01", "a", 2**24, None), ("big", "2025", "01", "a", 2**24, None), ("nosize", "2025", "01", "a", None, None), ("gone", "2025", "01", "a", 2**25, T),
+        ("failed", "2025", "01", "x", 2**25, None), ("unknown", "2025", "01", None, 2**25, None), ("other", "2025", "03", "a", 2**25, None),
+    )
+    c = Compactor(spark, at)
+    c.compact(data(spark, 200), files, spark.createDataFrame([("a",), ("a",), (None,)], DONE))
+    small = [(f"f{i}",) for i in range(6)]
+    assert rows(c.replaced(), "file_path") == small
+    assert rows(c.superseded()) == [("big",), *small, ("nosize",)]
+    assert c.table.orphans(older_than_s=-1) == []

@@ -5,7 +5,8 @@ month) that the plan names: rows get a Hilbert code over several columns, so tha
 in the same file; exact counts of code cells (the leading bits) place the file bounds so that files are balanced;
 each row is shuffled once, straight to the partition of its file; the files are written, and for each group the
 count, the sum and the exclusive-or of row digests of source and destination are compared. Only then is a
-manifest committed, with the list of replaced files. A row of a recorded run is there exactly once: copies in
+manifest committed, with two lists of files: the small ones that the plan names, and all live recorded files of the
+rewritten groups, large ones included, as their rows are in the new files too. A row of a recorded run is there exactly once: copies in
 the source stay copies, rows of runs without a record do not come along.
 
 As a listing does not tell which rows a file holds, a group is rewritten whole, from the rows of recorded runs.
@@ -103,6 +104,13 @@ def plan(files: DataFrame, batches: DataFrame, small: int = 16 * 1024 * 1024, le
     return live.alias("l").join(enough.alias("e"), on, "left_semi")
 
 
+def members(files: DataFrame, batches: DataFrame, groups: DataFrame, on: Sequence[Column]) -> DataFrame:
+    """file_path of live, recorded files of any size in the groups that `on` matches."""
+    done = batches.select("batch_id").where("batch_id IS NOT NULL").distinct()
+    live = files.where(F.col("removed_time").isNull() & F.col("file_path").isNotNull())
+    return live.join(groups, [*on], "left_semi").join(done, "batch_id", "left_semi").select("file_path").distinct()
+
+
 def _coordinate(x: Column, kind: str, lo, hi, bits: int) -> Column:
     if lo is None or hi is None or lo == hi:
         return F.when(x.isNull(), 0).otherwise(1)
@@ -165,10 +173,10 @@ class Compactor:
         return out, file
 
     def compact(self, rows: DataFrame, files: DataFrame, batches: DataFrame, row_bytes: float | None = None) -> dict:
-        """Rewrite what the plan names; commit the new files and the list of those they replace."""
+        """Rewrite what the plan names; commit the new files and the lists of those they replace."""
         base = self.table.manifest()
         older = StructType.fromJson(json.loads(base["schema"])).fields if base["schema"] else []
-        p = self._prefix = fresh_prefix([*rows.columns, *(f.name for f in older)], "pack")
+        p = self._prefix = fresh_prefix([*rows.columns, *files.columns, *(f.name for f in older)], "pack")
         schema = StructType([*rows.schema.fields, *(f for f in older if f.name not in rows.columns)]).json()
         chosen = self.table.write_part(plan(files, batches, group=self.group))
         named = self.spark.read.parquet(f"{self.table.path}/{chosen}")
@@ -178,6 +186,8 @@ class Compactor:
         planned = {self._key(r) for r in groups.limit(MAX_CELLS + 1).collect()}
         if len(planned) > MAX_CELLS:
             raise ValueError(f"more than {MAX_CELLS} groups")
+        whole = self.table.write_part(members(files, batches, groups, in_group))
+        lists = {"plan": chosen, "superseded": whole, "extra_parts": [chosen, whole]}
         parts = self._carried(base, planned, groups, in_group)
         few = is_small(done)
         scope = rows.join(checked_broadcast(groups), in_group, "left_semi").join(F.broadcast(done) if few else done, F.col("batch_id") == F.col(f"{p}b"), "left_semi")
@@ -196,7 +206,7 @@ class Compactor:
             s = source[tuple(r[g] for g in self.group)]
             s[:] = s[0] + r[self._own("n")], s[1] + int(r[self._own("sum")]), s[2] ^ r[self._own("xor")]
         if not cells:
-            return self.table.commit(base, parts, schema, "compact", plan=chosen, extra_parts=[chosen], files=0, rows=0)
+            return self.table.commit(base, parts, schema, "compact", **lists, files=0, rows=0)
         if row_bytes is None:
             row_bytes = int(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()) / max(1, rows.count())
         assigned, n_files = self._assign(cells, row_bytes)
@@ -213,7 +223,7 @@ class Compactor:
         if staged:
             self.table.files.delete(f"{self.table.path}/{staged}")
         parts |= {self._key(g): [folders[str(i)]] for g, i in number.items()}
-        return self.table.commit(base, parts, schema, "compact", plan=chosen, extra_parts=[chosen], files=n_files, rows=sum(s[0] for s in source.values()))
+        return self.table.commit(base, parts, schema, "compact", **lists, files=n_files, rows=sum(s[0] for s in source.values()))
 
     def _verify(self, written: DataFrame, source: dict) -> None:
         d1, d2 = row_digests(written)
@@ -223,9 +233,13 @@ class Compactor:
             raise DigestMismatch(f"{self.table.path}: digests of {sum(there.get(g) != s for g, s in source.items())} groups differ")
 
     def replaced(self, version: int | None = None) -> DataFrame:
-        """The files that a committed, verified rewrite replaces."""
+        """The small files that a committed, verified rewrite was planned for."""
         return self.spark.read.parquet(f"{self.table.path}/{self.table.manifest(version)['properties']['plan']}")
 
+    def superseded(self, version: int | None = None) -> DataFrame:
+        """All files whose rows a committed, verified rewrite holds: those to remove when it is put in place."""
+        return self.spark.read.parquet(f"{self.table.path}/{self.table.manifest(version)['properties']['superseded']}")
+
     def rows(self) -> DataFrame:
         """The rows of all groups rewritten so far."""
         return self.table.live()
