@@ -75,3 +75,19 @@ def test_edges(spark, at):
     same = spark.createDataFrame([(i, 1, "") for i in range(1000)], KIND)
     got = pack(spark, same, tokens=100, documents=10, path=f"{at}/d").collect()
     assert len({r.container for r in got}) == 100
+
+
+@pytest.mark.parametrize("n", [1000, 2500])
+def test_equal_and_null_ids_of_a_whole_container(spark, at, n):
+    df = spark.createDataFrame([(1, n, ""), (1, n, ""), (None, n, ""), (None, n, "")], KIND)
+    per = defaultdict(int)
+    for r in pack(spark, df, tokens=1000, path=at).collect():
+        per[r.container] += r.n_tokens
+    assert max(per.values()) == 1000 and sum(per.values()) == 4 * n
+
+
+def test_equal_ids_are_spread_over_shards(spark, at):
+    df = spark.createDataFrame([(1, 100, "")] * 400, KIND)
+    pack(spark, df, tokens=1000, shard_tokens=10_000, path=at)
+    shards = spark.read.parquet(f"{at}/round1").selectExpr("(container >> 28) & 268435455 AS s").groupBy("s").count().collect()
+    assert len(shards) == 4 and max(r["count"] for r in shards) < 200

@@ -13,7 +13,7 @@ their items packed anew, in shards of the same size, so that of all shards' rest
 cost one shuffle each of (id, piece, length).
 
 Nulls and the like: a null, empty or otherwise token-less text takes no container and comes back with a null one
-and length 0; equal ids are packed as different items; sizes must not be negative (they are refused); an empty
+and length 0; equal or null ids are packed as different items (each written row has its own number); sizes must not be negative (they are refused); an empty
 table gives an empty result.
 """
 
@@ -71,16 +71,16 @@ def _packed(items: DataFrame, shards: int, salt: int, limits: tuple, weights: Se
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         parts = [b for b in batches if len(b)]
         if parts:
-            x = pd.concat(parts, ignore_index=True).sort_values(["item_hash", "piece"], kind="stable", ignore_index=True)
+            x = pd.concat(parts, ignore_index=True).sort_values(["item_row", "piece"], kind="stable", ignore_index=True)
             for shard, rows in x.groupby("shard", sort=True):
                 n = rows["n_tokens"].to_numpy(np.int64)
                 where = fill(n, *limits, weights=weights, rule=rule)
                 filled = np.bincount(where, weights=n)[where].astype(np.int64)
-                yield pd.DataFrame({"id": rows["id"], "piece": rows["piece"], "n_tokens": n, "item_hash": rows["item_hash"], "container": (np.int64(salt) << 56) | (np.int64(shard) << 28) | where, "filled": filled})
+                yield pd.DataFrame({"id": rows["id"], "piece": rows["piece"], "n_tokens": n, "item_row": rows["item_row"], "container": (np.int64(salt) << 56) | (np.int64(shard) << 28) | where, "filled": filled})
 
     kind = items.schema["id"].dataType.simpleString()
-    placed = items.withColumn("shard", F.pmod(F.xxhash64(F.lit(salt), "item_hash", "piece"), F.lit(shards)).cast("int")).repartitionById(shards, F.col("shard"))
-    return placed.mapInPandas(run, f"id {kind}, piece int, n_tokens bigint, item_hash bigint, container bigint, filled bigint")
+    placed = items.withColumn("shard", F.pmod(F.xxhash64(F.lit(salt), "item_row", "piece"), F.lit(shards)).cast("int")).repartitionById(shards, F.col("shard"))
+    return placed.mapInPandas(run, f"id {kind}, piece int, n_tokens bigint, item_row bigint, container bigint, filled bigint")
 
 
 def pack(spark: SparkSession, sizes: DataFrame, item: str = "doc_id", size: str = "n_tokens", tokens: int = 4096, documents: int = 256, attention: int | None = None, weights: Sequence[float] = (1.0, 0.05, 0.05), rule: str = "norm", shard_tokens: int = 4_000_000, full: float = 0.98, path: str | None = None) -> DataFrame:
@@ -89,15 +89,15 @@ def pack(spark: SparkSession, sizes: DataFrame, item: str = "doc_id", size: str
     if attention < tokens * tokens:
         raise ValueError("a text of full length must fit its container: attention below tokens squared")
     path = path or work_dir(spark, "pack")
-    sizes.select(c(item).alias("id"), F.coalesce(c(size), F.lit(0)).cast("bigint").alias("n"), F.xxhash64(c(item)).alias("item_hash")).write.parquet(f"{path}/sizes")
+    sizes.select(c(item).alias("id"), F.coalesce(c(size), F.lit(0)).cast("bigint").alias("n"), F.monotonically_increasing_id().alias("item_row")).write.parquet(f"{path}/sizes")
     all_items = spark.read.parquet(f"{path}/sizes")
     least, rest_tokens, rest_items = all_items.agg(F.min("n"), F.sum(F.col("n") % tokens), F.count(F.when(F.col("n") % tokens > 0, 1))).first()
     if least is not None and least < 0:
         raise ValueError("sizes below 0")
     none = all_items.where("n = 0").select("id", F.lit(0).alias("piece"), F.lit(0).cast("bigint").alias("n_tokens"), F.lit(None).cast("string").alias("container"))
-    whole = all_items.where(f"n >= {tokens}").select("id", F.explode(F.sequence(F.lit(0), F.expr(f"CAST(n DIV {tokens} - 1 AS INT)"))).alias("piece"), F.lit(tokens).cast("bigint").alias("n_tokens"), "item_hash")
-    whole = whole.select("id", "piece", "n_tokens", F.concat(F.lit("w"), F.hex("item_hash"), F.lit("-"), F.col("piece").cast("string")).alias("container"))
-    rests = all_items.where(f"n % {tokens} > 0").select("id", F.expr(f"CAST(n DIV {tokens} AS INT)").alias("piece"), F.expr(f"n % {tokens}").alias("n_tokens"), "item_hash")
+    whole = all_items.where(f"n >= {tokens}").select("id", F.explode(F.sequence(F.lit(0), F.expr(f"CAST(n DIV {tokens} - 1 AS INT)"))).alias("piece"), F.lit(tokens).cast("bigint").alias("n_tokens"), "item_row")
+    whole = whole.select("id", "piece", "n_tokens", F.concat(F.lit("w"), F.col("item_row").cast("string"), F.lit("-"), F.col("piece").cast("string")).alias("container"))
+    rests = all_items.where(f"n % {tokens} > 0").select("id", F.expr(f"CAST(n DIV {tokens} AS INT)").alias("piece"), F.expr(f"n % {tokens}").alias("n_tokens"), "item_row")
 
     def shards(t: int | None, n: int | None) -> int:
         return max(1, -(-(t or 0) // shard_tokens), -(-(n or 0) // 500_000))
@@ -109,7 +109,7 @@ def pack(spark: SparkSession, sizes: DataFrame, item: str = "doc_id", size: str
     t2, n2 = first.where(open_).agg(F.sum("n_tokens"), F.count("*")).first()
     again = first
     if n2:
-        second = _packed(first.where(open_).select("id", "piece", "n_tokens", "item_hash"), shards(t2, n2), 2, limits, weights, rule)
+        second = _packed(first.where(open_).select("id", "piece", "n_tokens", "item_row"), shards(t2, n2), 2, limits, weights, rule)
         again = first.where(~open_).unionByName(second)
     mixed = again.select("id", "piece", "n_tokens", F.concat(F.lit("m"), F.hex("container")).alias("container"))
     out = mixed.unionByName(whole).unionByName(none)
