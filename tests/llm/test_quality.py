@@ -109,3 +109,8 @@ def test_on_spark(spark):
     assert rows(text_quality(df, words), "doc_id", "structure", "not_prose") == sorted([(1, "prose", False), (1, "list", True), (None, "empty", False), (3, "junk", True)], key=str)
     assert text_quality(df.limit(0), words).count() == 0
     assert text_quality(df, words.limit(0)).count() == 4
+
+
+def test_long_runs_of_letters_count_whole(quality):
+    got = quality.measure(["a" * 10_000 + ".", "b" * 1_100_000 + " cc"])
+    assert got["mean_word_length"] == [10_000, 550_001]

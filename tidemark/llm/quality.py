@@ -280,6 +280,9 @@ class Quality:
         m = _Measured()
         codes = np.fromiter(map(self.kinds.__getitem__, tokens), np.int64, len(tokens))
         kind, sizes, letters = codes & 7, (codes // _LENGTH) & ((1 << 20) - 1), (codes // _LETTERS) & 4095
+        for i in np.flatnonzero(sizes >= 4095):  # too long for the token's number
+            sizes[i] = len(tokens[i])
+            letters[i] = len(tokens[i].strip(_TRIM)) if letters[i] else 0
         m.kinds = np.bincount(kind, weights=sizes, minlength=_KINDS)
         m.words, m.letters = int((kind <= 2).sum()), int(letters.sum())
         m.functions = np.bincount(codes // _FUNCTION, minlength=len(self.lexicon.index) + 1)[1:]
