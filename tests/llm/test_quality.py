@@ -114,3 +114,18 @@ def test_on_spark(spark):
 def test_long_runs_of_letters_count_whole(quality):
     got = quality.measure(["a" * 10_000 + ".", "b" * 1_100_000 + " cc"])
     assert got["mean_word_length"] == [10_000, 550_001]
+
+
+FOUR = "The grey heron stood in shallow water near our landing. Several children carried baskets full of apples toward market. My uncle repaired wooden boats during every long winter evening. Nobody remembered who had painted those blue doors upstairs. "
+OTHER = "When spring came they opened another shop beside the station. Her brother wrote letters about mountains, glaciers and strange flowers. A teacher from Norway explained why bridges sometimes freeze before roads. It seemed that most visitors preferred quiet gardens. "
+
+
+@pytest.mark.parametrize("text", [FOUR * 8, FOUR.replace(".", "") * 8, OTHER + "The lamp was late and it was cold. " * 20, "".join(f"The lamp was late and it was cold. {x}. " for x in OTHER.split(". ")) * 1 + "The lamp was late and it was cold. " * 12])
+def test_fragments_repeated_in_more_than_half(quality, text):
+    got = quality.measure([text])
+    assert got["not_prose"] == [True] and got["structure"] == ["junk"]
+
+
+def test_fragments_repeated_in_less_than_half(quality):
+    got = quality.measure([OTHER + FOUR + "The lamp was late and it was cold. " * 6, OTHER + FOUR])
+    assert got["not_prose"] == [False, False] and 0.5 < got["prose_share"][0] < 0.8 and got["prose_share"][1] == 1

@@ -5,7 +5,8 @@ a table, machine lines). Each block gives three distributions: token kinds (func
 known, other words, very short words, numbers, mixed tokens), character classes, and layout. A block belongs to
 the profile with the least weighted sum of Jensen-Shannon divergences from them; profiles are those of prose and
 of lists, tables, machine output and several kinds of junk (`PROFILES`). A document is assigned the profile that
-holds most of its characters, and is not prose when profiles other than prose hold more than half of them.
+holds most of its characters, and is not prose when profiles other than prose hold more than half of them. What
+lies in prose blocks but repeats one fragment over and over (one sentence, or a run of any period) isn't prose.
 The language of prose is the one whose function words, as a distribution, are nearest to the document's.
 
 Basic counts go along: words, mean word length, symbol ratio, share of lines that end in punctuation, share of
@@ -25,6 +26,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -48,6 +50,7 @@ _LOG = re.compile(r"\s*(?:\[?\d{4}-\d\d-\d\d[T ]\d\d:\d\d|\[?\d\d:\d\d:\d\d|(?:\
 _JSON = re.compile(r"\s*[\[{].*\":|\s*</?t[adhr]")
 _CJK = re.compile(r"[\u3040-\u30ff\u3400-\u9fff]")
 _SPECIAL = re.compile(r"<\|[^|<>]*\|>")
+_ENDS = re.compile(r"[.!?]\s+|[。！？\n]")
 _GAP = re.compile(r"\S {2,}(?=\S)")
 _O_BULLETS = re.compile(r"^(?:\s*[-+•]|\s+o)\s", re.M)
 _STOP = (".", "!", "?", "…", "。", "！", "？", ":", ";", '"', "”", "»", ")")
@@ -91,6 +94,8 @@ STRUCTURES = ("prose", "list", "table", "machine", "junk")
 REPEATS, REPEATED, WORD_REPEATS, FEW_WORDS = 5, 0.85, 6, 30
 #: Lines of so few words on average, without marks of sentences, are entries.
 ENTRY_WORDS = 8.5
+#: Tokens of a stretch that is looked for in periodic runs, and how often it may come in one period.
+_GRAM, _IN_PERIOD = 3, 4
 _CACHE = 300_000
 
 
@@ -338,6 +343,10 @@ class Quality:
             total = size.sum()
             by = np.bincount(self.structure, weights=size, minlength=len(STRUCTURES))
             prose = 0.0 if again else float(by[0] / total)
+            if prose and (share := self._repeated("\n".join(ln for b, s in zip(bs, nearest[i - len(bs) : i], strict=True) if self.structure[s] == 0 for ln in b.lines))):
+                prose *= 1 - share
+                if prose < 0.5:
+                    again = by[0] * share >= by[1:].max()
             structure = STRUCTURES[int(np.argmax(by))]
             chars, n_words = sum(m.chars for m in ms), sum(m.words for m in ms)
             marks = float(chars[[4, 6, 7]].sum() / max(1.0, chars.sum() - chars[2]))
@@ -346,6 +355,49 @@ class Quality:
             rows.append((n_words, sum(m.letters for m in ms) / max(1, n_words), marks, stops, float(f.sum()) / max(1, n_words), top, distance / total, language, "one fragment, repeated" if again else self.names[int(np.argmax(size))], "junk" if again and structure == "prose" else structure, prose, int(total), prose < 0.5))
         return {n: list(v) for (n, _), v in zip(COLUMNS, zip(*rows, strict=True), strict=True)} if rows else {n: [] for n, _ in COLUMNS}
 
+    @staticmethod
+    def _repeated(text: str) -> float:
+        """The share of a text's characters that its commonest fragment has, or that lie in periodic runs."""
+        cjk = not text.isascii() and len(_CJK.findall(text)) > 0.1 * len(text)
+        top, fragments = 0.0, _ENDS.split(text)
+        if len(fragments) >= REPEATS:
+            count = Counter(f for f in (x.strip(_TRIM + " ") for x in fragments) if f)
+            most = max((len(f) * k for f, k in count.items() if k >= REPEATS), default=0)
+            top = most / max(1, sum(len(f) * k for f, k in count.items()))
+        tokens = [ch for ch in text if not ch.isspace()] if cjk else text.split()
+        number = {t: i for i, t in enumerate(t for t, k in Counter(tokens).items() if k >= REPEATS)}
+        if len(number) == 0 or len(tokens) < REPEATS + _GRAM:
+            return top
+        # a stretch of tokens that comes at least REPEATS times at equal distances lies in a run; rarer tokens are in none
+        ids = np.fromiter(map(number.get, tokens, repeat(-1)), np.int64, len(tokens))
+        n = len(ids) - _GRAM + 1
+        gram, often = np.zeros(n, np.int64), np.ones(n, bool)
+        for k in range(_GRAM):
+            often &= ids[k : n + k] >= 0
+            gram = gram * np.int64(6364136223846793005) + ids[k : n + k] + 1
+        order = np.flatnonzero(often)
+        if len(order) < REPEATS:
+            return top
+        order = order[np.argsort(gram[order], kind="stable")]
+        gram = gram[order]
+        starts = np.zeros(len(ids), bool)
+        for m in range(1, _IN_PERIOD + 1):  # the stretch may come several times in a period
+            span = m * (REPEATS - 1)
+            if len(order) <= span:
+                break
+            steps = [order[k * m + m : len(order) - span + k * m + m] - order[k * m : len(order) - span + k * m] for k in range(REPEATS - 1)]
+            run = gram[span:] == gram[:-span]
+            for x in steps[1:]:
+                run &= x == steps[0]
+            at = np.flatnonzero(run)
+            for k in range(REPEATS):
+                starts[order[at + k * m]] = True
+        inside = starts.copy()
+        for k in range(1, _GRAM):
+            inside[k:] |= starts[:-k]
+        sizes = np.fromiter(map(len, tokens), np.int64, len(tokens))
+        return max(top, float(sizes[inside].sum() / sizes.sum()))
+
     @staticmethod
     def _repeats(whole: str, tokens: list[list[str]], ms: list[_Measured]) -> tuple[float, bool]:
         """The share of the commonest fragment (sentence or line), and whether the text is one fragment over and over."""
