@@ -120,7 +120,7 @@ FOUR = "The grey heron stood in shallow water near our landing. Several children
 OTHER = "When spring came they opened another shop beside the station. Her brother wrote letters about mountains, glaciers and strange flowers. A teacher from Norway explained why bridges sometimes freeze before roads. It seemed that most visitors preferred quiet gardens. "
 
 
-@pytest.mark.parametrize("text", [FOUR * 8, FOUR.replace(".", "") * 8, OTHER + "The lamp was late and it was cold. " * 20, "".join(f"The lamp was late and it was cold. {x}. " for x in OTHER.split(". ")) * 1 + "The lamp was late and it was cold. " * 12])
+@pytest.mark.parametrize("text", [(PROSE + " " + OTHER) * 8, FOUR * 8, FOUR.replace(".", "") * 8, OTHER + "The lamp was late and it was cold. " * 20, "".join(f"The lamp was late and it was cold. {x}. " for x in OTHER.split(". ")) * 1 + "The lamp was late and it was cold. " * 12])
 def test_fragments_repeated_in_more_than_half(quality, text):
     got = quality.measure([text])
     assert got["not_prose"] == [True] and got["structure"] == ["junk"]
