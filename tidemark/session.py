@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import SparkSession
@@ -50,5 +51,23 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def work_dir(spark: SparkSession, what: str) -> str:
-    """A new folder name of its own in the shared folder."""
-    return f"{shared_dir(spark)}/tidemark/{what}-{os.getpid()}-{uuid.uuid4().hex[:12]}"
+    """A new folder of its own in the shared folder; it goes when the session's JVM ends, as results are read from it until then."""
+    at = f"{shared_dir(spark)}/tidemark/{what}-{os.getpid()}-{uuid.uuid4().hex[:12]}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(at)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(path)
+    fs.deleteOnExit(path)
+    return at
+
+
+def sweep(spark: SparkSession, older_than_s: float = 7 * 86400) -> list[str]:
+    """Delete work folders of sessions that were killed and could not do it themselves."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/tidemark")
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(root):
+        return []
+    before = (time.time() - older_than_s) * 1000
+    gone = [s.getPath() for s in fs.listStatus(root) if s.getModificationTime() < before]
+    for p in gone:
+        fs.delete(p, True)
+    return sorted(p.toString() for p in gone)
