@@ -21,14 +21,12 @@ and the log is joined on topic, partition and salt.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import c
 from tidemark.operators.messages import MESSAGE_KEY, first_copies
-from tidemark.store import SnapshotTable
+from tidemark.store import SnapshotTable, retrying
 
 BROADCAST_ROWS = 200_000
 SALTS = 32
@@ -53,14 +51,14 @@ class IncrementalReader:
     def __init__(self, spark: SparkSession, path: str, arrival: str = "append_time"):
         self.spark, self.table, self.arrival = spark, SnapshotTable(spark, path), arrival
 
-    def positions(self) -> DataFrame | None:
-        """The high watermark of the latest version; None before the first."""
-        at = self.table.manifest()["properties"].get("positions")
+    def positions(self, base: dict | None = None) -> DataFrame | None:
+        """The high watermark of a version, the latest unless told; None before the first."""
+        at = (base or self.table.manifest())["properties"].get("positions")
         return None if at is None else self.spark.read.parquet(f"{self.table.path}/{at}").selectExpr("topic", "partition", f"{_HIGH} AS position")
 
-    def plan(self, log: DataFrame, start: DataFrame | None = None) -> str:
-        """Fix the bounds of the next run: a written table of topic, partition, low (exclusive) and high (inclusive)."""
-        low = self.positions()
+    def plan(self, log: DataFrame, start: DataFrame | None = None, base: dict | None = None) -> str:
+        """Fix the bounds of the run after a version: a written table of topic, partition, low (exclusive) and high (inclusive)."""
+        low = self.positions(base)
         low = low if low is not None else start
         high = log.where("topic IS NOT NULL AND partition IS NOT NULL").groupBy("topic", "partition").agg(F.max("offset").alias("top"))
         if low is None:
@@ -73,16 +71,16 @@ class IncrementalReader:
             F.when(F.col("position") >= 0, F.col("position")).alias(_LOW),
             F.greatest(F.when(F.col("position") >= 0, F.col("position")), "top").cast("bigint").alias(_HIGH),
         )
-        name = f"bounds/{uuid.uuid4().hex}"
-        bounds.write.parquet(f"{self.table.path}/{name}")
-        return name
+        return self.table.write_part(bounds)
 
     def run(self, log: DataFrame, start: DataFrame | None = None) -> dict:
         """Read what is new, write it, and commit it with the new positions."""
-        base = self.table.manifest()
-        at = self.plan(log, start)
-        part = self.table.write_part(first_copies(self.between(log, at), MESSAGE_KEY, self.arrival))
-        return self.table.commit(base, {"all": [part]}, log.schema.json(), "incremental", positions=at)
+        return retrying(lambda: self._run(self.table.manifest(), log, start))
+
+    def _run(self, base: dict, log: DataFrame, start: DataFrame | None) -> dict:
+        at = self.plan(log, start, base)
+        part = self.table.write_part(first_copies(self.between(log, at), MESSAGE_KEY, self.arrival, loose=False))
+        return self.table.commit(base, {"all": [part]}, log.schema.json(), "incremental", positions=at, extra_parts=[at])
 
     def between(self, log: DataFrame, bounds: str) -> DataFrame:
         """The log's rows within written bounds."""

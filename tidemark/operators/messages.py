@@ -14,14 +14,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tidemark.functions.columns import c, fresh, tie_break
-from tidemark.store import SnapshotTable
+from tidemark.store import SnapshotTable, retrying
 
 MESSAGE_KEY = ("topic", "partition", "offset")
+#: Topic partitions of a batch whose ranges of offsets are looked at one by one.
+RANGES = 128
 
 
 def _whole(key: Sequence[str]):
@@ -40,45 +42,59 @@ def ranked_copies(df: DataFrame, key: Sequence[str] = MESSAGE_KEY, arrival: str
     return df.where(_whole(key)).withColumn(rank, F.row_number().over(w)).where(c(rank) <= depth)
 
 
-def first_copies(df: DataFrame, key: Sequence[str] = MESSAGE_KEY, arrival: str = "processing_time") -> DataFrame:
-    """One row for each message, and every row that has no whole identifier."""
+def first_copies(df: DataFrame, key: Sequence[str] = MESSAGE_KEY, arrival: str = "processing_time", loose: bool = True) -> DataFrame:
+    """One row for each message, and every row that has no whole identifier (not read for again if `loose` is false)."""
     rank = fresh(df.columns, "copy_no")
     kept = ranked_copies(df, key, arrival, 1, rank).drop(rank)
-    return kept.unionByName(df.where(~_whole(key)))
+    return kept.unionByName(df.where(~_whole(key))) if loose else kept
 
 
 def repeated_messages(df: DataFrame, key: Sequence[str] = MESSAGE_KEY, arrival: str = "processing_time") -> DataFrame:
-    """Identifiers of the messages that have a second copy, each once.
-
-    Which copy is the second does not matter here, so only the identifier and the arrival are read and shuffled.
-    """
+    """Identifiers of the messages that have a second copy, each once, by the very ranking that `first_copies` keeps the first of."""
     rank = fresh(df.columns, "copy_no")
-    return ranked_copies(df.select(*map(c, dict.fromkeys([*key, arrival]))), key, arrival, 2, rank).where(c(rank) == 2).select(*map(c, key))
+    return ranked_copies(df, key, arrival, 2, rank).where(c(rank) == 2).select(*map(c, key))
 
 
 class MessageStore:
     """A table of first copies that grows batch by batch; every batch is anti-joined with the stored identifiers.
 
-    Only stored rows within the batch's own range of offsets are read for that (the range goes down to the Parquet
-    scan), so the cost of a batch follows the batch. A batch and its id are committed together: a batch id that is
-    already there is skipped, so a repeated run changes nothing.
+    Only stored rows within the batch's own range of offsets are read for that, a range for each topic partition if
+    they are at most `RANGES` and one for all otherwise (ranges go down to the Parquet scan), so the cost of a batch
+    follows the batch. A batch and its id are committed together, after the version that the anti-join read: a batch id
+    that is already there is skipped, so a repeated run changes nothing, and if another writer was first the batch is
+    joined with the new version and tried again.
     """
 
     def __init__(self, spark: SparkSession, path: str, key: Sequence[str] = MESSAGE_KEY, arrival: str = "processing_time"):
         self.table, self.key, self.arrival = SnapshotTable(spark, path), tuple(key), arrival
 
     def add(self, batch: DataFrame, batch_id: str) -> dict:
-        base = self.table.manifest()
+        return retrying(lambda: self._add(self.table.manifest(), batch, batch_id))
+
+    def _add(self, base: dict, batch: DataFrame, batch_id: str) -> dict:
         if self.table.has_batch(base, batch_id):
             return base
         new = first_copies(batch, self.key, self.arrival)
         if base["schema"] is not None:
-            last = self.key[-1]
-            lo, hi = batch.agg(F.min(c(last)), F.max(c(last))).first()
-            stored = self.table.live().where(_whole(self.key)).select(*map(c, self.key))
-            stored = stored.where(c(last).between(lo, hi)) if lo is not None else stored.limit(0)
+            stored = self.table.live(base["version"]).where(_whole(self.key)).where(self._ranges(batch)).select(*map(c, self.key))
             new = new.join(stored, list(self.key), "left_anti").select(*map(c, batch.columns))
-        return self.table.append(new, "add", **self.table.with_batch(base, batch_id))
+        return self.table.append(new, "add", base, **self.table.with_batch(base, batch_id))
+
+    def _ranges(self, batch: DataFrame) -> Column:
+        """Where the stored identifiers lie that a batch can repeat."""
+        *group, last = self.key
+        by = batch.where(_whole(self.key)).groupBy(*map(c, group)).agg(F.min(c(last)).alias("lo"), F.max(c(last)).alias("hi"))
+        got = by.limit(RANGES + 1).collect()
+        if len(got) > RANGES:
+            lo, hi = by.agg(F.min("lo"), F.max("hi")).first()
+            return c(last).between(lo, hi)
+        out = F.lit(False)
+        for r in got:
+            at = c(last).between(r["lo"], r["hi"])
+            for k, v in zip(group, r, strict=False):
+                at = at & (c(k) == F.lit(v))
+            out = out | at
+        return out
 
     def rows(self) -> DataFrame:
         return self.table.live()
