@@ -85,7 +85,7 @@ def points(spark, ledger, until=None):
 
 def test_late_updates_split_and_supersede(spark):
     early = [(i, p, True, day(s), day(s), "x") for i in (1, 2) for s, p in enumerate([5, 5, 5, 7, 7])]
-    late = [(1, 9, True, day(1), day(20), "x"), (1, 7, True, day(3), day(20), "x"), (3, 1, None, day(4), day(20), "x"), (1, 9, True, day(2), day(19), "x")]
+    late = [(1, 9, True, day(1), day(20), "x"), (1, 7, True, day(3), day(20), "x"), (3, 1, None, day(4), day(20), "x"), (1, 9, True, day(2), day(19), "x"), (1, 5, True, day(2), day(22), "x")]
     df = spark.createDataFrame(early, KIND)
     grid = history.slots(df)
     # a ledger of joined rows, as a keeper of versions would hold it
@@ -97,8 +97,13 @@ def test_late_updates_split_and_supersede(spark):
     assert points(spark, after, str(day(6))) == points(spark, ledger)  # what was held stays known
     s = {x[3]: n for n, x in enumerate(sorted(rows(grid, "slot", "slot_at", "slot_at", "slot_at"), key=lambda x: x[0]), 1)}
     want = {(i, n + 1): (p, True) for i in (1, 2) for n, p in enumerate([5, 5, 5, 7, 7])}
-    want |= {(1, s[day(1)]): (9, True), (1, s[day(2)]): (9, True), (3, s[day(4)]): (1, None)}
-    assert points(spark, after) == sorted([(*k, *v) for k, v in want.items()], key=str)
+    flat = lambda d: sorted([(*k, *v) for k, v in d.items()], key=str)
+    want |= {(1, s[day(2)]): (9, True)}
+    assert points(spark, after, str(day(19))) == flat(want)
+    want |= {(1, s[day(1)]): (9, True), (3, s[day(4)]): (1, None)}
+    assert points(spark, after, str(day(21))) == flat(want)
+    want |= {(1, s[day(2)]): (5, True)}
+    assert points(spark, after) == flat(want)
     assert after.where("id = 2 AND recorded_to IS NOT NULL").count() == 0
 
 
@@ -117,3 +122,47 @@ def test_random_loads_equal_one_build(spark):
     whole = history.build(spark.createDataFrame([x for p in loads for x in p], KIND), grid=grid).cache()
     for until in (day(30), day(31), None):
         assert points(spark, ledger, until and str(until)) == points(spark, whole, until and str(until))
+
+
+@pytest.mark.parametrize("seed", [11, 12])
+def test_late_loads_equal_one_build_at_every_recorded_time(spark, seed):
+    data = [(*x[:4], None if x[4] is None else x[3] and x[3] + timedelta(hours=random.Random(i).choice([1, 30, 30, 60, 90, 100])), "x") for i, x in enumerate(some(250, seed))]
+    df = spark.createDataFrame(data, KIND)
+    grid = history.slots(df)
+    ledger, whole = history.from_readings(df, grid).cache(), history.build(df, grid=grid).cache()
+    for until in [None, *sorted({x[4] for x in data if x[4]})[::7]]:
+        assert points(spark, ledger, until and str(until)) == points(spark, whole, until and str(until))
+    assert rows(ledger, "id", "values", "slot_from", "recorded_from", "recorded_to") == rows(whole, "id", "values", "slot_from", "recorded_from", "recorded_to")
+
+
+def test_a_table_takes_loads_in_turn_and_rewrites_nothing(spark, at):
+    data = [x for x in some(250, 21, loads=5)]
+    grid = history.slots(spark.createDataFrame(data, KIND))
+    t = history.HistoryTable(spark, at)
+    bounds = [day(1), day(3), day(20)]
+    kept = []
+    for n, until in enumerate(bounds):
+        since = bounds[n - 1] if n else datetime(1, 1, 1)
+        load = [x for x in data if since < (x[4] or datetime(1900, 1, 1)) <= until]
+        for _ in range(2):  # the second is skipped
+            m = t.load(spark.createDataFrame(load, KIND), f"load-{n}", grid)
+        assert m["parts"]["rows"][: len(kept)] == kept and m["version"] == n + 1
+        kept = m["parts"]["rows"]
+    whole = history.build(spark.createDataFrame(data, KIND), grid=grid).cache()
+    for until in (*bounds, day(2), None):
+        assert points(spark, t.ledger(), until and str(until)) == points(spark, whole, until and str(until))
+    assert points(spark, t.ledger(1)) == points(spark, whole, str(bounds[0]))
+
+
+def test_snapshots_may_come_later_but_not_in_between(spark, at):
+    t = history.HistoryTable(spark, at)
+    row = lambda i, p, d: (i, p, True, day(d), day(d), "x")
+    t.load(spark.createDataFrame([row(1, 5, 0), row(1, 5, 2)], KIND), "a")
+    t.load(spark.createDataFrame([row(1, 6, 4), row(2, 1, 4)], KIND), "b")
+    got = history.versions(history.as_of(t.ledger()), t.grid())
+    assert rows(got, "id", "values.price", "valid_from", "valid_to") == [(1, 5, day(0), day(4)), (1, 6, day(4), None), (2, 1, day(4), None)]
+    with pytest.raises(ValueError):
+        t.load(spark.createDataFrame([row(1, 5, 1)], KIND), "c")
+    # a reading dated before what is held counts from the time of that on
+    t.load(spark.createDataFrame([(1, 9, True, day(2), day(1), "x")], KIND), "d")
+    assert rows(history.as_of(t.ledger()).where("slot_from = 2"), "values.price") == [(9,)]
