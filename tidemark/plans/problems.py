@@ -21,6 +21,21 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
     return reader.new_records().select("topic", "partition", "offset")
 
 
+def p1_runs(spark: SparkSession, d: str) -> DataFrame:
+    """Three runs while the log grows, one of which dies before its commit and is repeated: the run that gave each message."""
+    reader = IncrementalReader(spark, work_dir(spark, "p1"))
+    log = table(spark, d, "topic_log")
+    start = ledger_positions(table(spark, d, "kafka_offsets"), table(spark, d, "processed_batches"))
+    last = log.agg(F.max("offset")).first()[0] or 0
+    for n in (1, 2, 3):
+        grown = log.where(F.col("offset") <= last * n // 3)
+        if n == 2:
+            reader.table.write_part(reader.between(grown, reader.plan(grown, start)))  # written, never committed
+        reader.run(grown, start)
+    runs = [reader.new_records(v).select("topic", "partition", "offset", F.lit(v).alias("run")) for v in reader.table.versions()]
+    return runs[0].unionByName(runs[1]).unionByName(runs[2])
+
+
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
     return messages.repeated_messages(table(spark, d, "item_changes"))
 
@@ -29,12 +44,42 @@ def p2_messages(spark: SparkSession, d: str) -> DataFrame:
     return messages.first_copies(table(spark, d, "item_changes"))
 
 
+def p2_store(spark: SparkSession, d: str) -> DataFrame:
+    """The deliveries of each quarter as a batch of their own, every batch ranked and anti-joined with what is stored."""
+    store, rows = messages.MessageStore(spark, work_dir(spark, "p2")), table(spark, d, "item_changes")
+    quarter = F.floor((F.col("year").cast("int") * 12 + F.col("month").cast("int") - 1) / 3)
+    first, last = rows.agg(F.min(quarter), F.max(quarter)).first()
+    for q in range(first or 0, (last or 0) + 1):
+        store.add(rows.where(quarter == q), f"quarter-{q}")
+    return store.rows()
+
+
 def _applied(spark: SparkSession, d: str) -> DataFrame:
     t = ChangeTable(spark, work_dir(spark, "p3"))
     t.apply(table(spark, d, "item_changes"))
     return t.current()
 
 
+def p3_incremental(spark: SparkSession, d: str) -> DataFrame:
+    """The same changes in five runs that share messages out by batch, so copies and late rows come in any order; the last run repeats the first."""
+    t, rows = ChangeTable(spark, work_dir(spark, "p3")), table(spark, d, "item_changes")
+    run = F.pmod(F.xxhash64("batch_id", F.lit("run")), F.lit(4))
+    for n in (2, 0, 3, 1, 2):
+        t.apply(rows.where(run == n))
+    return t.current().select("id", "name", "description", "price", "on_offer", "processing_time")
+
+
+def p3_touched(spark: SparkSession, d: str) -> DataFrame:
+    """What a change of one item rewrites: buckets touched, whether all others carry their folders over, and the item's new price."""
+    t, rows = ChangeTable(spark, work_dir(spark, "p3")), table(spark, d, "item_changes")
+    before = t.apply(rows)["parts"]
+    one = rows.where("id IS NOT NULL AND processing_time IS NOT NULL").orderBy(F.col("id").desc(), F.col("processing_time").desc(), *messages.MESSAGE_KEY).limit(1)
+    change = one.withColumns({"topic": F.lit("after"), "processing_time": F.expr("processing_time + INTERVAL 1 DAY"), "price": F.lit(-1), "operation": F.lit("u")})
+    m = t.apply(change)
+    rewritten = {k.partition("/")[2] for k in before.keys() | m["parts"].keys() if before.get(k) != m["parts"].get(k)}
+    return t.current().where("topic = 'after'").select("id", "price", F.lit(m["properties"]["touched"]).cast("bigint").alias("touched"), F.lit(len(rewritten)).cast("bigint").alias("rewritten"))
+
+
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
     return _applied(spark, d).select("id", "topic", "partition", "offset")
 
@@ -76,10 +121,19 @@ def p5_table(spark: SparkSession, d: str) -> DataFrame:
     return _compacted(spark, d).consolidated(table(spark, d, "item_changes"), table(spark, d, "processed_batches"))
 
 
-def _versions(spark: SparkSession, d: str) -> DataFrame:
-    readings = table(spark, d, "item_snapshots")
+def _ledger(spark: SparkSession, d: str) -> history.HistoryTable:
+    """Readings made on time found the ledger; the late ones are a second load."""
+    t, readings = history.HistoryTable(spark, work_dir(spark, "p6")), table(spark, d, "item_snapshots")
     grid = history.slots(readings)
-    return history.versions(history.as_of(history.from_readings(readings, grid)), grid)
+    on_time, late = history.on_time_and_late(readings, grid)
+    t.load(on_time, "on time", grid)
+    t.load(late, "late", grid)
+    return t
+
+
+def _versions(spark: SparkSession, d: str) -> DataFrame:
+    t = _ledger(spark, d)
+    return history.versions(history.as_of(t.ledger()), t.grid())
 
 
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
@@ -93,13 +147,36 @@ def p6_versions(spark: SparkSession, d: str) -> DataFrame:
 
 def p6_ledger(spark: SparkSession, d: str) -> DataFrame:
     """Everything the ledger ever held, with the times from and up to which it did."""
-    readings = table(spark, d, "item_snapshots")
-    grid = history.slots(readings)
-    ledger = history.build(readings, grid=grid).join(grid.select(F.col("slot").alias("slot_from"), "slot_at", "slot_end"), "slot_from")
-    return ledger.select("id", "values.price", "values.on_offer", F.col("slot_at").alias("valid_from"), F.col("slot_end").alias("valid_to"), "recorded_from", "recorded_to")
+    t = _ledger(spark, d)
+    return _by_slot(t.ledger(), t.grid(), "recorded_from", "recorded_to")
+
 
+def _by_slot(ledger: DataFrame, grid: DataFrame, *more: str) -> DataFrame:
+    rows = ledger.join(grid.select(F.col("slot").alias("slot_from"), "slot_at", "slot_end"), "slot_from")
+    return rows.select("id", "values.price", "values.on_offer", F.col("slot_at").alias("valid_from"), F.col("slot_end").alias("valid_to"), *more)
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p2_found, p2_messages, p3_found, p3_current_items, p4_found, p4_values, p5_found, p5_rows, p5_table, p6_found, p6_versions, p6_ledger)}
+
+def p6_as_of(spark: SparkSession, d: str) -> DataFrame:
+    """What was held at four recorded times, from a ledger that was loaded in four turns by recorded time."""
+    t, readings = history.HistoryTable(spark, work_dir(spark, "p6")), table(spark, d, "item_snapshots")
+    grid = history.slots(readings)
+    times = [r[0] for r in grid.where("slot % 6 = 0").orderBy("slot").select(F.col("slot_at").cast("string")).limit(4).collect()]
+    recorded = F.coalesce("loaded_time", F.lit("1900-01-01").cast("timestamp"))
+    since = F.lit("0001-01-01").cast("timestamp")
+    for n, x in enumerate([*times, "9999-01-01"]):
+        until = F.lit(x).cast("timestamp")
+        t.load(readings.where((recorded > since) & (recorded <= until)), f"load-{n}", grid)
+        since = until
+    ledger, out = t.ledger(), None
+    for x in times:
+        held = _by_slot(history.as_of(ledger, x), t.grid()).withColumn("as_of", F.lit(x))
+        out = held if out is None else out.unionByName(held)
+    return out if out is not None else _by_slot(ledger, t.grid()).withColumn("as_of", F.lit("")).limit(0)
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    f.__name__: f for f in (p1_found, p1_runs, p2_found, p2_messages, p2_store, p3_found, p3_current_items, p3_incremental, p3_touched, p4_found, p4_values, p5_found, p5_rows, p5_table, p6_found, p6_versions, p6_ledger, p6_as_of)
+}
 
 ORACLES: dict[str, str] = {
     "p1_found": """
@@ -108,6 +185,26 @@ ORACLES: dict[str, str] = {
           WHERE batch_id IN (SELECT batch_id FROM processed_batches WHERE batch_id IS NOT NULL) GROUP BY topic, "partition")
         SELECT DISTINCT l.topic, l."partition", l."offset" FROM topic_log l LEFT JOIN pos p ON l.topic = p.topic AND l."partition" = p."partition"
         WHERE p.position IS NULL OR p.position < 0 OR l."offset" > p.position""",
+    "p1_runs": """
+        WITH pos AS (
+          SELECT topic, "partition", max("offset") AS position FROM kafka_offsets
+          WHERE batch_id IN (SELECT batch_id FROM processed_batches WHERE batch_id IS NOT NULL) GROUP BY topic, "partition"),
+        g AS (SELECT max("offset") AS last FROM topic_log)
+        SELECT DISTINCT l.topic, l."partition", l."offset", CASE WHEN l."offset" <= last // 3 THEN 1 WHEN l."offset" <= last * 2 // 3 THEN 2 ELSE 3 END AS run
+        FROM topic_log l CROSS JOIN g LEFT JOIN pos p ON l.topic = p.topic AND l."partition" = p."partition"
+        WHERE p.position IS NULL OR p.position < 0 OR l."offset" > p.position""",
+    "p2_store": """
+        SELECT topic, "partition", "offset", id, name, description, price, on_offer, operation, processing_time, year, month, batch_id FROM (
+          SELECT *, row_number() OVER (PARTITION BY topic, "partition", "offset" ORDER BY (CAST(year AS INT) * 12 + CAST(month AS INT) - 1) // 3, processing_time NULLS LAST, id NULLS LAST, name NULLS LAST,
+            description NULLS LAST, price NULLS LAST, on_offer NULLS LAST, operation NULLS LAST, year NULLS LAST, month NULLS LAST, batch_id NULLS LAST) AS rn
+          FROM item_changes) WHERE rn = 1""",
+    "p3_touched": """SELECT max(id) AS id, -1 AS price, CAST(1 AS BIGINT) AS touched, CAST(1 AS BIGINT) AS rewritten FROM item_changes WHERE processing_time IS NOT NULL""",
+    "p6_as_of": """
+        WITH grid AS (SELECT row_number() OVER (ORDER BY t) AS slot, t, lead(t) OVER (ORDER BY t) AS e FROM (SELECT DISTINCT processing_time AS t FROM item_snapshots WHERE processing_time IS NOT NULL)),
+        x AS (SELECT t AS until FROM grid WHERE slot % 6 = 0 ORDER BY slot LIMIT 4),
+        r AS (SELECT s.*, x.until, row_number() OVER (PARTITION BY x.until, id, processing_time ORDER BY coalesce(loaded_time, TIMESTAMP '1900-01-01') DESC, price DESC NULLS LAST, on_offer DESC NULLS LAST) AS rn
+          FROM item_snapshots s JOIN x ON coalesce(loaded_time, TIMESTAMP '1900-01-01') <= x.until WHERE id IS NOT NULL AND processing_time IS NOT NULL)
+        SELECT id, price, on_offer, processing_time AS valid_from, e AS valid_to, strftime(until, '%Y-%m-%d %H:%M:%S') AS as_of FROM r JOIN grid ON r.processing_time = grid.t WHERE rn = 1""",
     "p2_found": """SELECT topic, "partition", "offset" FROM item_changes GROUP BY topic, "partition", "offset" HAVING count(*) >= 2""",
     "p2_messages": """
         SELECT topic, "partition", "offset", id, name, description, price, on_offer, operation, processing_time, year, month, batch_id FROM (
@@ -167,3 +264,4 @@ ORACLES |= {
         n AS (SELECT * FROM b WHERE k = 1 OR pp IS DISTINCT FROM price OR po IS DISTINCT FROM on_offer)
         SELECT id, price, on_offer, n.t AS valid_from, e AS valid_to, rec AS recorded_from, lead(rec) OVER (PARTITION BY id, n.t ORDER BY rec) AS recorded_to FROM n JOIN grid ON n.t = grid.t""",
 }
+ORACLES["p3_incremental"] = ORACLES["p3_current_items"]
