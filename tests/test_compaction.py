@@ -130,3 +130,32 @@ def test_large_files_of_rewritten_groups_are_superseded(spark, at):
     assert rows(c.replaced(), "file_path") == small
     assert rows(c.superseded()) == [("big",), *small, ("nosize",)]
     assert c.table.orphans(older_than_s=-1) == []
+
+
+def test_hundreds_of_groups_and_bounds_on_whole_codes(spark, at):
+    d = spark.range(9000).selectExpr("CAST(2000 + id % 25 AS STRING) AS year", "lpad(CAST(id DIV 25 % 12 + 1 AS STRING), 2, '0') AS month", "'a' AS batch_id", "CAST(IF(id % 5 = 0, 1000000, id % 7) AS INT) AS id", "timestamp_seconds(id % 50) AS processing_time", "'x' AS text")
+    files = spark.range(1500).selectExpr("concat('f', id) AS file_path", "CAST(2000 + id % 25 AS STRING) AS year", "lpad(CAST(id DIV 25 % 12 + 1 AS STRING), 2, '0') AS month", "'a' AS batch_id", "100L AS file_size_in_bytes", "CAST(NULL AS TIMESTAMP) AS removed_time")
+    c = Compactor(spark, at, cell_bits=2, file_bytes=200)
+    m = c.compact(d, files, spark.createDataFrame([("a",)], DONE), row_bytes=20)
+    assert len(m["parts"]) == 300 and m["properties"]["files"] == 900
+    assert rows(c.rows()) == rows(d) and c.replaced().count() == 1500
+    sizes = [r["count"] for r in c.rows().selectExpr("input_file_name() AS f").groupBy("f").count().collect()]
+    assert len(sizes) > 850 and max(sizes) <= 2 * 10
+
+
+def test_files_follow_the_curve(spark, at):
+    d = spark.range(6400).selectExpr("'2025' AS year", "'01' AS month", "'a' AS batch_id", "CAST(id % 80 AS INT) AS id", "timestamp_seconds(id DIV 80) AS processing_time", "'x' AS text")
+    c = Compactor(spark, at, file_bytes=16_000)
+    assert c.compact(d, listing(spark), spark.createDataFrame([("a",)], DONE), row_bytes=40)["properties"]["files"] == 16
+    boxes = c.rows().groupBy(F.input_file_name()).agg(F.count("*").alias("n"), ((F.max("id") - F.min("id") + 1) * (F.max(F.unix_seconds("processing_time")) - F.min(F.unix_seconds("processing_time")) + 1)).alias("area")).collect()
+    assert len(boxes) == 16 and all(350 < r["n"] < 450 for r in boxes)
+    assert sum(r["area"] for r in boxes) < 3 * 6400  # by id or by time alone it would be 16 times as many
+
+
+def test_more_files_than_allowed_grow_instead(spark, at, monkeypatch):
+    import tidemark.operators.compaction as m
+
+    monkeypatch.setattr(m, "MAX_FILES", 4)
+    c = Compactor(spark, at, file_bytes=100)
+    got = c.compact(data(spark, 2000), listing(spark), spark.createDataFrame([("a",)], DONE), row_bytes=60)
+    assert got["properties"]["files"] == 4 and rows(c.rows()) == rows(data(spark, 2000).where("batch_id = 'a' AND month = '01'"))

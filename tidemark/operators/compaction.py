@@ -2,11 +2,11 @@
 
 `plan` names the files worth replacing. `compact` rewrites every group (the partition columns, such as year and
 month) that the plan names: rows get a Hilbert code over several columns, so that rows near in all of them land
-in the same file; exact counts of code cells (the leading bits) place the file bounds so that files are balanced;
-each row is shuffled once, straight to the partition of its file; the files are written, and for each group the
-count, the sum and the exclusive-or of row digests of source and destination are compared. Only then is a
-manifest committed, with two lists of files: the small ones that the plan names, and all live recorded files of the
-rewritten groups, large ones included, as their rows are in the new files too. A row of a recorded run is there exactly once: copies in
+in the same file; exact counts of codes place the file bounds so that files are balanced; each row is shuffled once,
+straight to the partition of its file; the files are written, and for each group the count, the sum and the
+exclusive-or of row digests of source and destination are compared. Only then is a manifest committed, with two
+lists of files of the verified groups: the small ones that the plan names, and all live recorded files, large ones
+included, as their rows are in the new files too. A row of a recorded run is there exactly once: copies in
 the source stay copies, rows of runs without a record do not come along.
 
 As a listing does not tell which rows a file holds, a group is rewritten whole, from the rows of recorded runs.
@@ -14,9 +14,13 @@ A manifest names the parts of each group, so a run replaces the groups it rewrit
 `rows` reads the groups rewritten so far, `consolidated` the whole table: it adds the rows of recorded runs that
 no rewrite holds yet.
 
-Scale: the histogram has at most 2^cell_bits rows for each group and is combined before it is shuffled; the file
-plan it gives goes to the driver and is broadcast, both below `MAX_CELLS` rows, or the run is refused with advice.
-A cell with more rows than a file may hold is split by row digest, so a hot value does not make a hot file.
+Scale: the histogram stays distributed. Its first level counts cells, the leading `cell_bits` of a code, and sums the
+digests with them; a prefix sum over the at most 2^cell_bits cells of a group tells which cells hold a bound between
+two files. Only the rows of those cells are counted by their whole code, and a prefix sum within each cell gives the
+bound's code; a code with more rows than a file may hold is cut by the hash of their place in the source, which parts
+even equal rows. What reaches the driver is a row for
+each group (at most `MAX_GROUPS`; a manifest has an entry for each) and one for each bound, which workers search.
+Files grow beyond `file_bytes` rather than being more than `MAX_FILES` in a run.
 The sets of groups and of recorded batches are counted and broadcast while they are small (see
 `checked_broadcast`), so wide rows are shuffled only once, to their files; with more recorded batches than that,
 the rows in scope are selected by a shuffle join once and staged.
@@ -29,7 +33,6 @@ commits an empty version; any extra columns are carried, whatever their names.
 from __future__ import annotations
 
 import json
-from collections import defaultdict
 from collections.abc import Sequence
 
 import numpy as np
@@ -37,12 +40,14 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
+from pyspark.sql.window import Window
 
 from tidemark.functions.columns import c, fresh_prefix
-from tidemark.functions.joins import BROADCAST_ROWS, checked_broadcast, is_small
-from tidemark.store import SnapshotTable
+from tidemark.functions.joins import checked_broadcast, is_small
+from tidemark.store import SnapshotTable, retrying
 
-MAX_CELLS = BROADCAST_ROWS
+#: Groups and files of one run, at most.
+MAX_GROUPS, MAX_FILES = 1_000_000, 100_000
 
 
 class DigestMismatch(RuntimeError):
@@ -87,6 +92,30 @@ def hilbert_column(columns: Sequence[Column], bits: int) -> Column:
     return code(F.struct(*(x.cast("bigint").alias(f"x{i}") for i, x in enumerate(columns))))
 
 
+def file_column(columns: Sequence[Column], bits: int, group: Column, within: Column, within_bits: int, bounds, first: np.ndarray) -> Column:
+    """code and file of a row: struct of the Hilbert code and the number of its file.
+
+    group: the number of the row's group; within: an integer below 2^within_bits that orders the rows of one code;
+    bounds: a broadcast pair of arrays, group and place of every bound, in order; first: the first file of each group.
+    """
+
+    n = len(columns)
+
+    @F.pandas_udf("code bigint, file int")
+    def placed(points: pd.DataFrame) -> pd.DataFrame:
+        code = hilbert([points[f"x{i}"].to_numpy() for i in range(n)], bits)
+        of, place = bounds.value
+        g, at = points["g"].to_numpy(), (code << within_bits) | points["w"].to_numpy()
+        file = first[g].copy()
+        for x in np.unique(g) if len(of) else ():
+            lo, hi = np.searchsorted(of, [x, x + 1])
+            mine = g == x
+            file[mine] += np.searchsorted(place[lo:hi], at[mine], side="right")
+        return pd.DataFrame({"code": code, "file": file.astype(np.int32)})
+
+    return placed(F.struct(*(x.cast("bigint").alias(f"x{i}") for i, x in enumerate(columns)), group.cast("int").alias("g"), within.cast("bigint").alias("w")))
+
+
 def row_digests(df: DataFrame) -> tuple[Column, Column]:
     """Two 64-bit digests of a row that tell a null from its absence."""
     cols = [F.to_json(F.struct(c(f.name))) if f.dataType.typeName() in ("map", "variant") else c(f.name) for f in df.schema.fields]
@@ -118,11 +147,23 @@ def _coordinate(x: Column, kind: str, lo, hi, bits: int) -> Column:
     return F.coalesce(F.least(F.floor((v - F.lit(float(lo))) / F.lit((float(hi) - float(lo)) / (2**bits - 2))), F.lit(2**bits - 2)) + 1, F.lit(0))
 
 
+def _row_bytes(rows: DataFrame, n: int) -> float:
+    """Bytes of a row as the files' sizes say; as the columns' kinds say if these are not known."""
+    plan = rows._jdf.queryExecution().optimizedPlan()
+    size = int(plan.stats().sizeInBytes())
+    known = size < int(rows.sparkSession._jsparkSession.sessionState().conf().defaultSizeInBytes())
+    return size / n if known and n else float(plan.schema().defaultSize())
+
+
 class Compactor:
-    def __init__(self, spark: SparkSession, path: str, group: Sequence[str] = ("year", "month"), dimensions: Sequence[str] = ("id", "processing_time"), bits: int = 16, cell_bits: int = 12, file_bytes: int = 128 * 1024 * 1024):
+    def __init__(self, spark: SparkSession, path: str, group: Sequence[str] = ("year", "month"), dimensions: Sequence[str] = ("id", "processing_time"), bits: int = 16, cell_bits: int = 16, file_bytes: int = 128 * 1024 * 1024):
         self._prefix = "pack_"
         self.spark, self.table = spark, SnapshotTable(spark, path)
         self.group, self.dimensions, self.bits, self.cell_bits, self.file_bytes = tuple(group), tuple(dimensions), bits, cell_bits, file_bytes
+        self.code_bits = bits * len(self.dimensions)
+        self.within_bits = min(31, 62 - self.code_bits)
+        if self.within_bits < 8:
+            raise ValueError("too many dimensions or bits for a code of 54 bits")
 
     def _own(self, name: str) -> str:
         """A column name of the run's own that no column of the rows has."""
@@ -139,97 +180,98 @@ class Compactor:
             carried["all"] = [self.table.write_part(self.table.read(mixed, base["schema"]).join(groups, in_group, "left_anti"))]
         return carried
 
-    def _coded(self, rows: DataFrame) -> DataFrame:
+    def _digests(self, df: DataFrame, *by: Column | str) -> DataFrame:
+        """n, sum and xor of the rows' digests."""
+        d1, d2 = row_digests(df)
+        return df.groupBy(*by).agg(F.count("*").alias("n"), F.sum(F.shiftrightunsigned(d1, 32)).alias("sum"), F.bit_xor(d2).alias("xor"))
+
+    def _coordinates(self, rows: DataFrame) -> tuple[list[Column], int]:
+        """The dimensions scaled to `bits`, over all rows, and the number of these."""
         kinds = {k: rows.schema[k].dataType.typeName() for k in self.dimensions}
         value = {k: F.unix_micros(c(k)) if kinds[k] == "timestamp" else c(k) for k in self.dimensions}
-        ends = rows.agg(*(f(value[k]).alias(f"{n}{i}") for i, k in enumerate(self.dimensions) for n, f in (("lo", F.min), ("hi", F.max)))).first()
-        at = [_coordinate(c(k), kinds[k], ends[f"lo{i}"], ends[f"hi{i}"], self.bits) for i, k in enumerate(self.dimensions)]
-        coded = rows.withColumn(self._own("code"), hilbert_column(at, self.bits))
-        return coded.withColumn(self._own("cell"), F.shiftright(self._own("code"), max(0, self.bits * len(self.dimensions) - self.cell_bits)).cast("int"))
-
-    def _assign(self, cells: list, row_bytes: float) -> tuple[list, int]:
-        """From exact cell counts: group, cell, first file, number of files of the cell; and the number of files."""
-        by_group: dict[tuple, list] = defaultdict(list)
-        for r in cells:
-            by_group[tuple(r[g] for g in self.group)].append((r[self._own("cell")], r[self._own("n")]))
-        out, file = [], 0
-        for g, counts in by_group.items():
-            counts.sort()
-            total = sum(n for _, n in counts)
-            wanted = max(1, round(total * row_bytes / self.file_bytes))
-            most, filled = total / wanted, 0
-            for cell, n in counts:
-                if n > 1.5 * most:  # too much for one file
-                    k = -(-n // max(1, int(most)))
-                    file += filled > 0
-                    out.append((*g, cell, file, k))
-                    file, filled = file + k, 0
-                    continue
-                if filled and filled + n / 2 > most:
-                    file, filled = file + 1, 0
-                out.append((*g, cell, file, 1))
-                filled += n
-            file += filled > 0
-        return out, file
+        ends = rows.agg(F.count("*").alias("n"), *(f(value[k]).alias(f"{n}{i}") for i, k in enumerate(self.dimensions) for n, f in (("lo", F.min), ("hi", F.max)))).first()
+        return [_coordinate(c(k), kinds[k], ends[f"lo{i}"], ends[f"hi{i}"], self.bits) for i, k in enumerate(self.dimensions)], ends["n"]
+
+    def _bounds(self, cells: DataFrame, coded: DataFrame, share: dict[int, tuple[float, int]]) -> tuple[np.ndarray, np.ndarray]:
+        """Group and place of each bound between two files of a group; share: rows of a file, and files, by group number."""
+        g, cell, code, shift = F.col(self._own("no")), F.col(self._own("cell")), F.col(self._own("code")), max(0, self.code_bits - self.cell_bits)
+        several = self.spark.createDataFrame([(k, *v) for k, v in share.items() if v[1] > 1], "no int, most double, files int")
+        if not several.take(1):
+            return np.empty(0, np.int64), np.empty(0, np.int64)
+        before = lambda by, order: F.coalesce(F.sum("n").over(Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+        # bounds lie at the ranks k * most, and a cell or code has the ranks from `since` up to `since + n`
+        holds = F.ceil(F.col("since") / F.col("most")) < F.ceil((F.col("since") + F.col("n")) / F.col("most"))
+        of_cells = cells.join(F.broadcast(several), g == F.col("no")).withColumn("since", before([g], cell)).where(holds).select("no", cell.alias("in_cell"), F.col("since").alias("cell_since"), "most", "files")
+        there = coded.join(checked_broadcast(of_cells), (g == F.col("no")) & (F.shiftrightunsigned(code, shift) == F.col("in_cell")))
+        codes = there.groupBy("no", "in_cell", "cell_since", "most", "files", code.alias("code")).agg(F.count("*").alias("n"))
+        codes = codes.withColumn("since", F.col("cell_since") + before(["no", "in_cell"], F.col("code"))).where(holds)
+        k = F.explode(F.sequence(F.ceil(F.col("since") / F.col("most")), F.ceil((F.col("since") + F.col("n")) / F.col("most")) - 1)).alias("k")
+        part = F.floor((F.col("k") * F.col("most") - F.col("since")) / F.col("n") * (1 << self.within_bits))
+        at = codes.select("*", k).where("k BETWEEN 1 AND files - 1").select("no", (F.shiftleft("code", self.within_bits) + part).cast("bigint").alias("place")).orderBy("no", "place").collect()
+        return np.array([r[0] for r in at], np.int64), np.array([r[1] for r in at], np.int64)
 
     def compact(self, rows: DataFrame, files: DataFrame, batches: DataFrame, row_bytes: float | None = None) -> dict:
         """Rewrite what the plan names; commit the new files and the lists of those they replace."""
-        base = self.table.manifest()
+        return retrying(lambda: self._compact(self.table.manifest(), rows, files, batches, row_bytes))
+
+    def _compact(self, base: dict, rows: DataFrame, files: DataFrame, batches: DataFrame, row_bytes: float | None) -> dict:
         older = StructType.fromJson(json.loads(base["schema"])).fields if base["schema"] else []
         p = self._prefix = fresh_prefix([*rows.columns, *files.columns, *(f.name for f in older)], "pack")
         schema = StructType([*rows.schema.fields, *(f for f in older if f.name not in rows.columns)]).json()
         chosen = self.table.write_part(plan(files, batches, group=self.group))
         named = self.spark.read.parquet(f"{self.table.path}/{chosen}")
-        groups = named.select(*map(c, self.group)).distinct().withColumns({f"{p}g{i}": c(g) for i, g in enumerate(self.group)}).drop(*self.group)
+        values = sorted(map(tuple, named.select(*map(c, self.group)).distinct().limit(MAX_GROUPS + 1).collect()), key=lambda v: [(x is None, x if x is not None else 0) for x in v])
+        if len(values) > MAX_GROUPS:
+            raise ValueError(f"more than {MAX_GROUPS} groups")
+        kinds = ", ".join(f"{p}g{i} {rows.schema[g].dataType.simpleString()}" for i, g in enumerate(self.group))
+        groups = self.spark.createDataFrame([(*v, i) for i, v in enumerate(values)], f"{kinds}, {p}no int")
         done = batches.select(F.col("batch_id").alias(f"{p}b")).where(F.col(f"{p}b").isNotNull()).distinct()
         in_group = [c(g).eqNullSafe(F.col(f"{p}g{i}")) for i, g in enumerate(self.group)]
-        planned = {self._key(r) for r in groups.limit(MAX_CELLS + 1).collect()}
-        if len(planned) > MAX_CELLS:
-            raise ValueError(f"more than {MAX_CELLS} groups")
-        whole = self.table.write_part(members(files, batches, groups, in_group))
-        lists = {"plan": chosen, "superseded": whole, "extra_parts": [chosen, whole]}
-        parts = self._carried(base, planned, groups, in_group)
+        parts = self._carried(base, {self._key(v) for v in values}, groups, in_group)
         few = is_small(done)
-        scope = rows.join(checked_broadcast(groups), in_group, "left_semi").join(F.broadcast(done) if few else done, F.col("batch_id") == F.col(f"{p}b"), "left_semi")
+        scope = rows.join(F.broadcast(groups), in_group).join(F.broadcast(done) if few else done, F.col("batch_id") == F.col(f"{p}b"), "left_semi").select(*map(c, rows.columns), f"{p}no")  # a row for each group
         staged = None
         if not few:  # the join shuffles whole rows, so it is done once and its result is read from then on
             staged = self.table.write_part(scope)
-            scope = self.table.read([staged], rows.schema.json())
-        coded = self._coded(scope)
-        d1, d2 = row_digests(rows)
-        histogram = coded.groupBy(*map(c, self.group), self._own("cell")).agg(F.count("*").alias(self._own("n")), F.sum(d1.cast("decimal(38,0)")).alias(self._own("sum")), F.bit_xor(d2).alias(self._own("xor")))
-        cells = histogram.limit(MAX_CELLS + 1).collect()
-        if len(cells) > MAX_CELLS:
-            raise ValueError(f"more than {MAX_CELLS} cells; lower cell_bits")
-        source: dict[tuple, list] = defaultdict(lambda: [0, 0, 0])
-        for r in cells:
-            s = source[tuple(r[g] for g in self.group)]
-            s[:] = s[0] + r[self._own("n")], s[1] + int(r[self._own("sum")]), s[2] ^ r[self._own("xor")]
-        if not cells:
-            return self.table.commit(base, parts, schema, "compact", **lists, files=0, rows=0)
+            scope = self.table.read([staged], scope.schema.json())
+        at, n_rows = self._coordinates(rows)
         if row_bytes is None:
-            row_bytes = int(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()) / max(1, rows.count())
-        assigned, n_files = self._assign(cells, row_bytes)
-        kinds = ", ".join(f"{p}g{i} {rows.schema[g].dataType.simpleString()}" for i, g in enumerate(self.group))
-        number = {g: i for i, g in enumerate(source)}
-        where = self.spark.createDataFrame([(*a, number[a[: len(self.group)]]) for a in assigned], f"{kinds}, {p}c int, {p}first int, {p}k int, {p}part int")
-        routed = coded.join(F.broadcast(where), [*in_group, F.col(self._own("cell")) == F.col(f"{p}c")])  # one row for each histogram cell
-        routed = routed.withColumn(self._own("file"), (F.col(f"{p}first") + F.pmod(d1, F.col(f"{p}k"))).cast("int"))
-        placed = routed.select(*map(c, rows.columns), self._own("code"), self._own("file"), self._own("part")).repartitionById(n_files, F.col(self._own("file")))
-        # a file has rows of one group only, so writing by group makes no more files
-        part = self.table.write_part(placed.sortWithinPartitions(self._own("part"), self._own("code")).drop(self._own("code"), self._own("file")), self._own("part"))
-        folders = self.table.buckets_of(part)
-        self._verify(self.table.read([*folders.values()], rows.schema.json()), source)
+            row_bytes = _row_bytes(rows, n_rows)
+        coded = scope.withColumn(self._own("code"), hilbert_column(at, self.bits))
+        cell = F.shiftrightunsigned(self._own("code"), max(0, self.code_bits - self.cell_bits)).alias(self._own("cell"))
+        d1, d2 = row_digests(rows)
+        cells = coded.groupBy(F.col(self._own("no")), cell).agg(F.count("*").alias("n"), F.sum(F.shiftrightunsigned(d1, 32)).alias("sum"), F.bit_xor(d2).alias("xor")).persist()
+        try:
+            source = {r[0]: (r[1], r[2], r[3]) for r in cells.groupBy(self._own("no")).agg(F.sum("n"), F.sum("sum"), F.bit_xor("xor")).collect()}
+            size = max(self.file_bytes, sum(n for n, *_ in source.values()) * row_bytes / MAX_FILES)
+            share = {g: (n / k, k) for g, (n, *_) in source.items() for k in [min(n, max(1, round(n * row_bytes / size)))]}
+            bounds = self._bounds(cells, coded, share)
+        finally:
+            cells.unpersist()
+        first, n_files = np.zeros(len(values), np.int64), 0
+        for g in sorted(source):
+            first[g], n_files = n_files, n_files + share[g][1]
+        if source:
+            shared = self.spark.sparkContext.broadcast(bounds)
+            where = file_column(at, self.bits, F.col(self._own("no")), F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(1 << self.within_bits)), self.within_bits, shared, first)
+            routed = scope.withColumn(self._own("at"), where).select(*map(c, rows.columns), self._own("no"), F.col(self._own("at"))["code"].alias(self._own("code")), F.col(self._own("at"))["file"].alias(self._own("file")))
+            # a file has rows of one group only, so writing by group makes no more files
+            placed = routed.repartitionById(n_files, F.col(self._own("file"))).sortWithinPartitions(self._own("no"), self._own("code"))
+            folders = self.table.buckets_of(self.table.write_part(placed.drop(self._own("code"), self._own("file")), self._own("no")))
+            self._verify(self.table.read([*folders.values()], rows.schema.json()), {values[g]: s for g, s in source.items()})
+            parts |= {self._key(values[int(g)]): [folder] for g, folder in folders.items()}
         if staged:
             self.table.files.delete(f"{self.table.path}/{staged}")
-        parts |= {self._key(g): [folders[str(i)]] for g, i in number.items()}
-        return self.table.commit(base, parts, schema, "compact", **lists, files=n_files, rows=sum(s[0] for s in source.values()))
+        # all groups are verified now (those without rows have nothing to lose): these are the files that the new ones replace
+        replaced = self.table.write_part(named.join(F.broadcast(groups), in_group, "left_semi"))
+        whole = self.table.write_part(members(files, batches, F.broadcast(groups), in_group))
+        self.table.files.delete(f"{self.table.path}/{chosen}")
+        return self.table.commit(base, parts, schema, "compact", plan=replaced, superseded=whole, extra_parts=[replaced, whole], files=n_files, rows=sum(n for n, *_ in source.values()))
 
     def _verify(self, written: DataFrame, source: dict) -> None:
-        d1, d2 = row_digests(written)
-        got = written.groupBy(*map(c, self.group)).agg(F.count("*").alias(self._own("n")), F.sum(d1.cast("decimal(38,0)")).alias(self._own("sum")), F.bit_xor(d2).alias(self._own("xor"))).collect()
-        there = {tuple(r[g] for g in self.group): [r[self._own("n")], int(r[self._own("sum")]), r[self._own("xor")]] for r in got}
-        if there != dict(source):
+        got = self._digests(written, *map(c, self.group)).collect()
+        there = {tuple(r)[: len(self.group)]: tuple(r)[len(self.group) :] for r in got}
+        if there != source:
             raise DigestMismatch(f"{self.table.path}: digests of {sum(there.get(g) != s for g, s in source.items())} groups differ")
 
     def replaced(self, version: int | None = None) -> DataFrame:
