@@ -4,7 +4,7 @@ from datetime import datetime
 import pytest
 
 from tests.conftest import rows
-from tidemark.operators.compare import differences, key_dictionary, latest, presence_bitmaps
+from tidemark.operators.compare import aligned, differences, latest, presence_bitmaps
 
 KIND = "id int, name string, price double, f0 boolean, `odd.name` string"
 FIELDS = ("name", "price", "f0", "odd.name")
@@ -41,10 +41,9 @@ def test_values_are_shown(spark, at):
 
 def test_bitmaps_span_blocks_and_are_compressed(spark, at):
     a, b = spark.range(100_000).withColumnRenamed("id", "k"), spark.range(50_000, 150_000).withColumnRenamed("id", "k")
-    words = key_dictionary(spark, a, b, "k", f"{at}/w")
-    assert words.select("ordinal").distinct().count() == 150_000
-    side = lambda x: x.join(words.withColumnRenamed("key", "k"), "k").select("ordinal")
-    got = presence_bitmaps(side(a), side(b)).collect()
+    both = aligned(spark, a, b, "k", (), f"{at}/w")
+    assert both.select("ordinal").distinct().count() == both.count() == 150_000
+    got = presence_bitmaps(both.selectExpr("ordinal", "a IS NOT NULL AS has_a", "b IS NOT NULL AS has_b")).collect()
     assert len(got) >= 5 and max(len(v or b"") for r in got for v in r[1:]) < 4096
     assert rows(differences(spark, a, b, "k", (), path=f"{at}/d").groupBy("field").count()) == [("missing_in_a", 50_000), ("missing_in_b", 50_000)]
 
@@ -59,3 +58,18 @@ def test_latest_row_of_a_hot_key(spark):
 def test_latest_with_nulls(spark):
     df = spark.createDataFrame([(1, None, "a"), (1, datetime(2025, 1, 1), "b"), (None, None, "c"), (2, None, "z"), (2, None, "y")], "id int, at timestamp, latest_rank string")
     assert rows(latest(df, "id", "at"), "id", "latest_rank") == [(1, "b"), (2, "y")]
+
+
+def test_marks_beyond_the_broadcast_are_joined_by_block(spark, at, monkeypatch):
+    import tidemark.operators.compare as m
+
+    monkeypatch.setattr(m, "MARK_BLOCKS", 0)
+    a, b = some(300, 3), some(200, 4)
+    got = differences(spark, spark.createDataFrame(a, KIND), spark.createDataFrame(b, KIND), "id", FIELDS, path=at)
+    assert rows(got, "id", "field") == expected(a, b)
+
+
+def test_one_range_shuffle_brings_both_sides_together(spark, at):
+    a, b = (spark.createDataFrame(some(50, n), KIND) for n in (5, 6))
+    plan = differences(spark, a, b, "id", FIELDS, path=f"{at}/d")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == plan.count("BroadcastExchange") == 1  # the marks

@@ -1,14 +1,14 @@
 """Differences between two copies of data: rows missing on either side, and values that differ, field by field.
 
-The keys of both sides get shared ordinals: a written dictionary of the distinct keys in key order, numbered by
-range partition, so ordinals are dense within a partition and stable once written. Each side's presence is a
-bitmap for each block of 32,768 ordinals, built by partial aggregation and kept compressed. AND-NOT of two
-bitmaps gives the missing ordinals; AND gives the common ones, and only those rows, aligned by ordinal, are
-compared column by column.
+Both sides are brought together by range of the key, once: each partition holds the rows of its keys from both sides,
+merged in key order, and numbers them. That number is the key's shared ordinal, dense within a partition and stable
+once written. Each side's presence is a bitmap for each block of 32,768 ordinals, built by partial aggregation and
+kept compressed. AND-NOT of two bitmaps marks the missing ordinals, AND the common ones; the written rows, aligned
+by ordinal, are read against these marks block by block: a marked row is missing, or is compared column by column.
 
 A side with several rows for a key is first reduced to one (`latest`), by a rank that is limited in each task
-before the shuffle, so a key with a third of all rows is no burden. Bitmaps are 4 KB for a block and side before
-compression and stay distributed; nothing is collected.
+before the shuffle, so a key with a third of all rows is no burden. Marks are 12 KB for a block of 32,768 rows; they
+are broadcast while they are few (`MARK_BLOCKS`), else joined by block, and nothing is collected.
 
 Nulls and the like: rows without key are left out; two values differ unless equal or both null (NaN equals NaN);
 an empty side makes every key of the other missing; columns of one side only are ignored, and columns may have
@@ -27,10 +27,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tidemark.functions.columns import c, fresh, tie_break
+from tidemark.functions.joins import checked_broadcast
 from tidemark.session import work_dir
 
-#: Bits of a block, as Spark's bitmap functions have them.
-BLOCK = 32_768
+#: Bits of a block, as Spark's bitmap functions have them; blocks whose marks are broadcast (50 MB at most).
+BLOCK, MARK_BLOCKS = 32_768, 4_096
 
 
 def latest(df: DataFrame, key: str, by: str) -> DataFrame:
@@ -40,10 +41,17 @@ def latest(df: DataFrame, key: str, by: str) -> DataFrame:
     return df.where(c(key).isNotNull()).withColumn(rank, F.row_number().over(w)).where(c(rank) == 1).drop(rank)
 
 
-def key_dictionary(spark: SparkSession, a: DataFrame, b: DataFrame, key: str, path: str) -> DataFrame:
-    """key, ordinal: written once, as ordinals must not change when a task runs again."""
-    keys = a.select(c(key).alias("key")).union(b.select(c(key).alias("key"))).distinct()
-    keys.repartitionByRange("key").sortWithinPartitions("key").withColumn("ordinal", F.monotonically_increasing_id()).write.parquet(path)
+def aligned(spark: SparkSession, a: DataFrame, b: DataFrame, key: str, fields: Sequence[str], path: str) -> DataFrame:
+    """ordinal, key, a, b: a row for each key of either side, with its rows of both (null where a side has none).
+
+    Written once, as ordinals must not change when a task runs again.
+    """
+    row = lambda df: F.struct(*(c(f).alias(f"f{i}") for i, f in enumerate(fields)), F.lit(True).alias("present"))
+    sides = {n: df.where(c(key).isNotNull()).select(c(key).alias("key"), row(df).alias(n)) for n, df in (("a", a), ("b", b))}
+    both = sides["a"].unionByName(sides["b"], allowMissingColumns=True)
+    # the range partitioning serves the grouping too; its rows come out in key order
+    merged = both.repartitionByRange("key").groupBy("key").agg(F.first("a", ignorenulls=True).alias("a"), F.first("b", ignorenulls=True).alias("b"))
+    merged.sortWithinPartitions("key").withColumn("ordinal", F.monotonically_increasing_id()).write.parquet(path)
     return spark.read.parquet(path)
 
 
@@ -54,12 +62,10 @@ def _pack(blocks: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield x[["block", "a", "b"]]
 
 
-def presence_bitmaps(a: DataFrame, b: DataFrame) -> DataFrame:
+def presence_bitmaps(rows: DataFrame) -> DataFrame:
     """block, a, b: compressed bitmaps of the ordinals each side has; null where it has none in the block."""
-    both = a.select("ordinal", F.lit("a").alias("side")).union(b.select("ordinal", F.lit("b").alias("side")))
-    bits = both.groupBy(F.expr(f"ordinal DIV {BLOCK}").alias("block")).agg(
-        *(F.expr(f"bitmap_construct_agg(CAST(ordinal % {BLOCK} AS BIGINT)) FILTER (WHERE side = '{s}')").alias(s) for s in ("a", "b"))
-    )
+    at = F.expr(f"ordinal % {BLOCK}")
+    bits = rows.groupBy(F.expr(f"ordinal DIV {BLOCK}").alias("block")).agg(*(F.bitmap_construct_agg(F.when(F.col(f"has_{s}"), at)).alias(s) for s in ("a", "b")))
     return bits.mapInPandas(_pack, "block bigint, a binary, b binary")
 
 
@@ -69,11 +75,9 @@ def _bits(v: bytes | None) -> np.ndarray:
 
 def _set_algebra(blocks: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for x in blocks:
-        for block, va, vb in zip(x["block"], x["a"], x["b"], strict=True):
-            a, b = _bits(va), _bits(vb)
-            for verdict, v in (("only_a", a & ~b), ("only_b", b & ~a), ("both", a & b)):
-                if len(at := np.flatnonzero(np.unpackbits(v, bitorder="little"))):
-                    yield pd.DataFrame({"ordinal": at.astype(np.int64) + block * BLOCK, "verdict": verdict})
+        a, b = ([*map(_bits, x[s])] for s in ("a", "b"))
+        marks = {"only_a": lambda p, q: p & ~q, "only_b": lambda p, q: q & ~p, "both": lambda p, q: p & q}
+        yield pd.DataFrame({"block": x["block"], **{n: [f(p, q).tobytes() for p, q in zip(a, b, strict=True)] for n, f in marks.items()}})
 
 
 def differences(spark: SparkSession, a: DataFrame, b: DataFrame, key: str, fields: Sequence[str], missing_in_a: str = "missing_in_a", missing_in_b: str = "missing_in_b", path: str | None = None) -> DataFrame:
@@ -82,23 +86,18 @@ def differences(spark: SparkSession, a: DataFrame, b: DataFrame, key: str, field
     Both sides must have one row for each key (see `latest`).
     """
     path = path or work_dir(spark, "compare")
-    words = key_dictionary(spark, a.where(c(key).isNotNull()), b.where(c(key).isNotNull()), key, f"{path}/keys")
-
-    def side(df: DataFrame, name: str) -> DataFrame:
-        rows = df.where(c(key).isNotNull()).select(c(key).alias("key"), F.struct(F.lit(True).alias("present"), *(c(f).alias(f"f{i}") for i, f in enumerate(fields))).alias(name))
-        rows.join(words, "key").select("ordinal", name).write.parquet(f"{path}/{name}")
-        return spark.read.parquet(f"{path}/{name}")
-
-    sa, sb = side(a, "a"), side(b, "b")
-    presence_bitmaps(sa, sb).mapInPandas(_set_algebra, "ordinal bigint, verdict string").write.partitionBy("verdict").parquet(f"{path}/verdicts")
-    verdicts = spark.read.schema("ordinal bigint, verdict string").parquet(f"{path}/verdicts")
-    gone = verdicts.where("verdict IN ('only_a', 'only_b')").join(words, "ordinal").select(
-        F.col("key"), F.when(F.col("verdict") == "only_a", missing_in_b).otherwise(missing_in_a).alias("field"), F.lit(None).cast("string").alias("value_a"), F.lit(None).cast("string").alias("value_b")
-    )
-    if not fields:
-        return gone.withColumnRenamed("key", key)
-    aligned = verdicts.where("verdict = 'both'").select("ordinal").join(sa, "ordinal").join(sb, "ordinal")
-    cells = F.array(*(F.when(~F.col(f"a.f{i}").eqNullSafe(F.col(f"b.f{i}")), F.struct(F.lit(f).alias("field"), F.col(f"a.f{i}").cast("string").alias("value_a"), F.col(f"b.f{i}").cast("string").alias("value_b"))) for i, f in enumerate(fields)))
-    differing = aligned.select("ordinal", F.array_compact(cells).alias("cells")).where(F.size("cells") > 0)
-    out = differing.select("ordinal", F.explode("cells").alias("cell")).join(words, "ordinal").select("key", "cell.field", "cell.value_a", "cell.value_b")
-    return gone.unionByName(out).withColumnRenamed("key", key)
+    rows = aligned(spark, a, b, key, fields, f"{path}/rows")
+    present = rows.select("ordinal", F.col("a").isNotNull().alias("has_a"), F.col("b").isNotNull().alias("has_b"))
+    presence_bitmaps(present).write.parquet(f"{path}/bitmaps")
+    marks = spark.read.parquet(f"{path}/bitmaps").mapInPandas(_set_algebra, "block bigint, only_a binary, only_b binary, both binary")
+    j = rows.withColumn("block", F.expr(f"ordinal DIV {BLOCK}")).join(checked_broadcast(marks, MARK_BLOCKS), "block")
+    at = F.expr(f"CAST(ordinal % {BLOCK} AS INT)")
+    # one byte of a mark, as a number, and its bit
+    is_in = lambda m: F.getbit(F.conv(F.hex(F.substring(F.col(m), F.floor(at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int"), at % 8) == 1
+    text = lambda x: x.cast("string") if x is not None else F.lit(None).cast("string")
+    cell = lambda cond, name, va=None, vb=None: F.when(cond, F.struct(F.lit(name).alias("field"), text(va).alias("value_a"), text(vb).alias("value_b")))
+    pairs = [(f, F.col(f"a.f{i}"), F.col(f"b.f{i}")) for i, f in enumerate(fields)]
+    compared = F.array(*(cell(~va.eqNullSafe(vb), f, va, vb) for f, va, vb in pairs)) if pairs else F.array(cell(F.lit(False), ""))
+    cells = F.when(is_in("both"), compared).when(is_in("only_a"), F.array(cell(F.lit(True), missing_in_b))).when(is_in("only_b"), F.array(cell(F.lit(True), missing_in_a)))
+    out = j.select("key", F.array_compact(cells).alias("cells")).where(F.size("cells") > 0)
+    return out.select(F.col("key").alias(key), F.inline("cells"))
