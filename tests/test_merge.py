@@ -89,3 +89,28 @@ def test_a_batch_that_died_leaves_the_old_version(spark, at, monkeypatch):
     assert rows(t.rows(), "v") == [("a",)]
     t.merge_batch(spark.createDataFrame([(1, "b", "u")], KIND), 1)
     assert rows(t.rows(), "v") == [("b",)]
+
+
+def test_a_growing_table_doubles_its_buckets(spark, at):
+    t = MergeTable(spark, at, buckets=1, bucket_rows=10)
+    state: list = []
+    for n in range(4):
+        batch = some(12, n + 10, keys=100)
+        m = t.merge_batch(spark.createDataFrame(batch, KIND), n)
+        state = expected(state, batch, "insert")
+    assert rows(t.rows()) == state and m["properties"]["buckets"] >= 4 and len(m["parts"]) > 1
+
+
+def test_two_writers_both_count(spark, at):
+    one, two = MergeTable(spark, at, buckets=2), MergeTable(spark, at, buckets=2)
+    real, calls = one.table.write_part, []
+
+    def late(df, *by, **kw):
+        if not calls:
+            calls.append(1)
+            two.merge_batch(spark.createDataFrame([(2, "b", "u")], KIND), 0, "two")
+        return real(df, *by, **kw)
+
+    one.table.write_part = late
+    one.merge_batch(spark.createDataFrame([(1, "a", "u")], KIND), 0, "one")
+    assert rows(one.rows(), "id") == [(1,), (2,)] and one.table.manifest()["properties"]["last"] == {"one": 0, "two": 0}

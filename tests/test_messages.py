@@ -76,3 +76,31 @@ def test_store_survives_a_run_that_died(spark, at):
     assert s.rows().count() == batch.select("topic", "partition", "offset").distinct().count()
     s.add(batch.limit(0), "nothing")
     assert s.rows().count() == batch.select("topic", "partition", "offset").distinct().count()
+
+
+def test_two_writers_on_one_version(spark, at):
+    one, two = MessageStore(spark, at), MessageStore(spark, at)
+    batch = lambda n: spark.createDataFrame([("t", 0, 5, T0, "x", n, 0, None), ("t", 1, 10**6, T0, "x", n, 0, None)], KIND)
+    real, calls = one.table.write_part, []
+
+    def late(df, *by, **kw):
+        if not calls:
+            calls.append(1)
+            two.add(batch("theirs"), "theirs")
+        return real(df, *by, **kw)
+
+    one.table.write_part = late
+    one.add(batch("mine"), "mine")
+    assert rows(one.rows(), "offset", "batch_id") == [(1000000, "theirs"), (5, "theirs")]
+    assert one.table.manifest()["properties"]["batches"] == ["theirs", "mine"]
+
+
+def test_more_topic_partitions_than_ranges(spark, at, monkeypatch):
+    import tidemark.operators.messages as m
+
+    monkeypatch.setattr(m, "RANGES", 1)
+    data = [x for x in some(200, 5) if None not in x[:3]]
+    s = MessageStore(spark, at)
+    for i in range(2):
+        s.add(spark.createDataFrame(data[i::2], KIND), f"run-{i}")
+    assert rows(s.rows(), "topic", "partition", "offset") == sorted(set(x[:3] for x in data), key=str)

@@ -110,11 +110,14 @@ class ChangeTable:
             filled += n[s]
         return out
 
-    def apply(self, changes: DataFrame, batch: str | None = None) -> dict:
-        """Merge changes in; a batch id that a manifest already names is skipped. A lost commit is tried again."""
-        return retrying(lambda: self._apply(self.table.manifest(), changes, batch))
+    def apply(self, changes: DataFrame, batch: str | None = None, **properties) -> dict:
+        """Merge changes in; a batch id that a manifest already names is skipped. A lost commit is tried again.
 
-    def _apply(self, base: dict, changes: DataFrame, batch: str | None) -> dict:
+        properties: what becomes visible with the batch, such as the offsets it ends at; dictionaries add to those there.
+        """
+        return retrying(lambda: self._apply(self.table.manifest(), changes, batch, properties))
+
+    def _apply(self, base: dict, changes: DataFrame, batch: str | None, properties: dict) -> dict:
         if batch is not None and self.table.has_batch(base, batch):
             return base
         self._name([*changes.columns, *(f["name"] for f in json.loads(base["schema"] or '{"fields": []}')["fields"])])
@@ -156,7 +159,7 @@ class ChangeTable:
         stay = leaves - touched
         split |= set(base["properties"].get("split", ())) & {name(x) for x in stay}
         now = sorted(stay | {x for x, _ in grown})
-        return self.table.commit(base, parts, payload, "apply", buckets=[*map(name, now)], split=sorted(split), touched=len(touched), **({} if batch is None else self.table.with_batch(base, batch)))
+        return self.table.commit(base, parts, payload, "apply", buckets=[*map(name, now)], split=sorted(split), touched=len(touched), **{k: {**base["properties"].get(k, {}), **v} if isinstance(v, dict) else v for k, v in properties.items()}, **({} if batch is None else self.table.with_batch(base, batch)))
 
     def current(self, version: int | None = None) -> DataFrame:
         """The rows that exist after all changes applied so far, each with the message that gave it."""

@@ -24,7 +24,7 @@ from pyspark.sql.window import Window
 
 from tidemark.functions.columns import c, fresh, tie_break
 from tidemark.functions.joins import BROADCAST_ROWS
-from tidemark.store import SnapshotTable
+from tidemark.store import SnapshotTable, retrying
 
 
 def latest_per_key(df: DataFrame, key: str | Sequence[str] = "id", order: Sequence[str] = ("processing_time",)) -> DataFrame:
@@ -100,44 +100,55 @@ class MergeTable:
     """A table of current rows, bucketed by the hash of the key, that takes batches exactly once.
 
     A batch rewrites only the buckets that its keys touch and is committed together with its number, the offsets
-    it ends at and its counts. Numbers grow for each source; a number that is not greater than the committed one
-    is skipped, so replaying a batch, even one with deletes or null keys, changes nothing.
+    it ends at and its counts, after the version it was merged with (a lost commit is merged again). Numbers grow for
+    each source; a number that is not greater than the committed one is skipped, so replaying a batch, even one with
+    deletes or null keys, changes nothing. Batches count in the order of their numbers; where events may come late,
+    `changes.ChangeTable` orders them by time and offset. A table that outgrows `bucket_rows` for each bucket doubles
+    its buckets, which rewrites it once for every doubling. Null keys are spread over the buckets by the whole row.
     """
 
-    def __init__(self, spark: SparkSession, path: str, key: str = "id", buckets: int = 16, tombstones: str = "insert", guard: str | None = None):
+    def __init__(self, spark: SparkSession, path: str, key: str = "id", buckets: int = 16, tombstones: str = "insert", guard: str | None = None, bucket_rows: int = 4_000_000):
         self.spark, self.table, self.key, self.tombstones, self.guard = spark, SnapshotTable(spark, path), key, tombstones, guard
-        self.buckets = self.table.manifest()["properties"].get("buckets", buckets)
+        self.buckets, self.bucket_rows = buckets, bucket_rows
 
-    def _bucketed(self, df: DataFrame) -> DataFrame:
-        return df.withColumn(fresh(df.columns, "merge_bucket"), F.pmod(F.xxhash64(c(self.key)), F.lit(self.buckets)).cast("int"))
+    def _bucketed(self, df: DataFrame, buckets: int) -> DataFrame:
+        texts = [c(f.name) if f.dataType.typeName() not in ("map", "variant") else F.to_json(F.struct(c(f.name))) for f in df.schema.fields]
+        by = F.when(c(self.key).isNull(), F.xxhash64(*texts)).otherwise(F.xxhash64(c(self.key)))
+        return df.withColumn(fresh(df.columns, "merge_bucket"), F.pmod(by, F.lit(buckets)).cast("int"))
 
     def merge_batch(self, source: DataFrame, number: int, origin: str = "stream", offsets: dict[str, int] | None = None, order: Sequence[str] | None = None) -> dict:
-        base = self.table.manifest()
-        last = base["properties"].get("last", {})
-        if number <= last.get(origin, -1):
-            return base
+        if number <= self.table.manifest()["properties"].get("last", {}).get(origin, -1):
+            return self.table.manifest()
         if order:
             source = latest_per_key(source, self.key, order)
         source = source.persist()  # a batch is read several times below
         try:
-            return self._merge(base, source, number, origin, offsets)
+            return retrying(lambda: self._merge(self.table.manifest(), source, number, origin, offsets))
         finally:
             source.unpersist()
 
     def _merge(self, base: dict, source: DataFrame, number: int, origin: str, offsets: dict[str, int] | None) -> dict:
         last = base["properties"].get("last", {})
-        src = self._bucketed(source)
+        if number <= last.get(origin, -1):
+            return base
+        now = buckets = base["properties"].get("buckets", self.buckets)
+        src = self._bucketed(source, buckets)
         counts = src.groupBy(src.columns[-1]).count().collect()  # a row for each bucket
-        touched, small = [r[0] for r in counts], sum(r[1] for r in counts) <= BROADCAST_ROWS
+        touched, new = [r[0] for r in counts], sum(r[1] for r in counts)
+        small, rows = new <= BROADCAST_ROWS, base["properties"].get("rows", 0) + new
+        while rows > self.bucket_rows * buckets:
+            buckets *= 2
+        if buckets > now:
+            touched = [int(k) for k in base["parts"]]
         kind = base["schema"] or source.schema.json()
         old = self.table.read([p for b in touched for p in base["parts"].get(str(b), [])], kind)
         merged = (_broadcast if small else _outer)(*_aligned(old, source), self.key, "operation", self.tombstones, self.guard)
-        placed = self._bucketed(merged)
+        placed = self._bucketed(merged, buckets)
         bucket = placed.columns[-1]
         part = self.table.write_part(placed.repartition(bucket).sortWithinPartitions(bucket), bucket)
         parts = {k: v for k, v in base["parts"].items() if int(k) not in touched}
         parts |= {b: [p] for b, p in self.table.buckets_of(part).items()}
-        return self.table.commit(base, parts, merged.schema.json(), "merge", buckets=self.buckets, last={**last, origin: number}, offsets={**base["properties"].get("offsets", {}), **(offsets or {})})
+        return self.table.commit(base, parts, merged.schema.json(), "merge", buckets=buckets, rows=rows, last={**last, origin: number}, offsets={**base["properties"].get("offsets", {}), **(offsets or {})})
 
     def rows(self, version: int | None = None) -> DataFrame:
         return self.table.live(version)
