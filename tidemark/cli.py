@@ -33,7 +33,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--source", help="Parquet folder of the source's copy")
     p.add_argument("--target", help="Parquet folder of the target's copy")
     p.add_argument("--columns", help="columns of the checksum, separated by commas")
-    p.add_argument("--key", default="id")
+    p.add_argument("--key", help="the column that tells rows apart; the first one unless given")
     p.add_argument("--sample-size", type=int, default=1000)
     p.add_argument("--time-column")
     p.add_argument("--load-column", default="processing_time")
@@ -53,6 +53,7 @@ def run(args: argparse.Namespace) -> dict:
         case "checksum":
             return validate.as_result(lambda: validate.checksum_match(read(args.source), read(args.target), args.columns.split(",")), "checksum")
         case "sample":
+            args.key = validate.default_key(read(args.source), args.key)
             out = validate.as_result(lambda: validate.sample_match(read(args.source), read(args.target), args.key, args.sample_size), "sample")
             if "error" not in out:
                 out["mismatch_examples"] = [r.asDict() for r in validate.sample_mismatches(read(args.source), read(args.target), args.key, args.sample_size).collect()]
@@ -85,7 +86,7 @@ def main(argv: list[str] | None = None) -> int:
     result = run(args)
     print(json.dumps(result, indent=2, default=str))
     if args.output:
-        validate.save_results(result, args.output, args.test)
+        validate.save_results(get_spark("tidemark-validate"), result, args.output, args.test)
     return 0 if verdict(result) else 1
 
 

@@ -13,7 +13,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from tidemark.functions.columns import c
 from tidemark.store import SnapshotTable
@@ -28,8 +27,7 @@ def compaction_plan(files: DataFrame, group: Sequence[str], path: str = "file_pa
 
 def expired_snapshots(snapshots: DataFrame, now: Column, days: int = 30, retain_last: int = 5, time: str = "made_current_at", snapshot: str = "snapshot_id") -> DataFrame:
     """Snapshots older than `days` that are not among the last `retain_last`."""
-    w = Window.orderBy(c(time).desc_nulls_last(), c(snapshot).desc())
-    keep = snapshots.select(c(snapshot), c(time)).orderBy(c(time).desc_nulls_last(), c(snapshot).desc()).limit(retain_last).withColumn("keep_rank", F.row_number().over(w)).select(c(snapshot))
+    keep = snapshots.select(c(snapshot), c(time)).orderBy(c(time).desc_nulls_last(), c(snapshot).desc()).limit(retain_last).select(c(snapshot))
     return snapshots.where(c(time) < now - F.expr(f"INTERVAL {int(days)} DAYS")).join(keep, snapshot, "left_anti")
 
 
@@ -50,6 +48,13 @@ def old_snapshots(snapshots: DataFrame, now: Column, days: int = 7, time: str =
     return snapshots.where(c(time) < now - F.expr(f"INTERVAL {int(days)} DAYS"))
 
 
-def optimize(table: SnapshotTable, days_to_retain: int = 30, retain_last: int = 5, orphan_days: float = 3) -> dict[str, list]:
-    """Expire old versions, then remove the parts nothing refers to any more. Failures are raised, not swallowed."""
-    return {"expired": table.expire(days_to_retain * 86400, retain_last), "removed": table.remove_orphans(orphan_days * 86400)}
+def optimize(table: SnapshotTable, days_to_retain: int = 30, retain_last: int = 5, orphan_days: float = 3, least: int = 5, files: int | None = None) -> dict[str, list]:
+    """Fold a table's parts into one if it has at least `least`, expire old versions, then remove the parts nothing refers to any more.
+
+    Only plain tables of appended parts are folded; bucketed ones rewrite their buckets as they take changes. Failures
+    are raised, not swallowed.
+    """
+    parts = table.manifest()["parts"]
+    fold = set(parts) == {"all"} and len(parts["all"]) >= least
+    compacted = [table.compact(files)["version"]] if fold else []
+    return {"compacted": compacted, "expired": table.expire(days_to_retain * 86400, retain_last), "removed": table.remove_orphans(orphan_days * 86400)}

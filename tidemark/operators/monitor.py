@@ -15,7 +15,7 @@ from tidemark.schema import CONNECTOR_METRICS, CONNECTOR_STATUS
 
 
 def connector_status(docs: DataFrame, name: str = "connector", document: str = "status") -> DataFrame:
-    """name, connector_state, tasks, failed_tasks, running."""
+    """name, connector_state, tasks, failed_tasks, running, failure (what the first failed task says)."""
     d = docs.select(c(name), F.from_json(c(document), CONNECTOR_STATUS).alias("s"))
     tasks = F.coalesce(F.col("s.tasks.state"), F.array().cast("array<string>"))
     return d.select(
@@ -24,6 +24,7 @@ def connector_status(docs: DataFrame, name: str = "connector", document: str = "
         F.size(tasks).alias("tasks"),
         F.size(F.filter(tasks, lambda x: F.coalesce(x != "RUNNING", F.lit(True)))).alias("failed_tasks"),
         (F.coalesce(F.col("s.connector.state") == "RUNNING", F.lit(False)) & F.forall(tasks, lambda x: F.coalesce(x == "RUNNING", F.lit(False)))).alias("running"),
+        F.get(F.filter("s.tasks", lambda x: F.coalesce(x["state"] != "RUNNING", F.lit(True))), F.lit(0))["trace"].alias("failure"),
     )
 
 

@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import c
+from tidemark.store import Files
 
 #: Limits the checks compare with.
 ROW_COUNT_PERCENT, MATCH_RATE, LAG_MILLIS, LAG_SECONDS, FRESH_MINUTES = 0.1, 0.99, 60_000, 300, 30
@@ -36,18 +37,13 @@ def row_text(df: DataFrame, columns: Sequence[str]) -> Column:
     return F.concat_ws("#", *(F.coalesce(c(x).cast("string"), F.lit("")) for x in columns))
 
 
-def table_checksum(df: DataFrame, columns: Sequence[str], digits: int | None = None, leaf_rows: int = 50_000) -> DataFrame:
+def table_checksum(df: DataFrame, columns: Sequence[str], digits: int = 6) -> DataFrame:
     """checksum: an MD5 tree over the rows' texts; equal for equal tables, whatever the order of their rows.
 
     Texts, each with the number of rows that have it, are grouped by the first `digits` hexadecimal digits of their
-    MD5, so that a group has about `leaf_rows` of them; a group's checksum is the MD5 of its sorted texts, and groups
-    are joined by two digits at a time up to the root. Compare tables with the same `digits`; if it is not given, the
-    number of rows decides.
+    MD5 (with 6, a group of a table of 10^12 different texts has 60,000); a group's checksum is the MD5 of its sorted
+    texts, and groups are joined by two digits at a time up to the root. Checksums with other `digits` differ.
     """
-    if digits is None:
-        digits, n = 1, df.count()
-        while n > leaf_rows * 16**digits:
-            digits += 1
     texts = df.select(row_text(df, columns).alias("t")).groupBy("t").agg(F.count("*").alias("n"))
     one = F.concat(F.col("t"), F.lit("*"), F.col("n").cast("string"))
     joined = lambda x: F.md5(F.array_join(F.sort_array(F.collect_list(x)), ","))
@@ -118,6 +114,26 @@ def combined_lag(source: DataFrame, loads: DataFrame, time: str, loaded: str) ->
     return out.withColumn("is_acceptable", F.coalesce(F.col("avg_lag_seconds") <= LAG_SECONDS, F.lit(False)))
 
 
+def message_lag(log: DataFrame, processed: DataFrame, by: Sequence[str] = ("topic", "partition"), offset: str = "offset") -> DataFrame:
+    """How far processing has come in each topic partition: last logged and last processed offset, and messages between them.
+
+    A partition that was never processed counts from its first message; one that nothing was logged for has no row.
+    """
+    head = log.where(c(offset).isNotNull()).groupBy(*map(c, by)).agg(F.min(c(offset)).alias("first_offset"), F.max(c(offset)).alias("last_offset"))
+    done = processed.where(c(offset) >= 0).groupBy(*map(c, by)).agg(F.max(c(offset)).alias("processed_offset"))
+    j = head.join(done, list(by), "left")
+    return j.select(*map(c, by), "last_offset", "processed_offset", F.greatest(F.lit(0), F.col("last_offset") - F.coalesce("processed_offset", F.col("first_offset") - 1)).alias("behind"))
+
+
+def default_key(df: DataFrame, key: str | None = None) -> str:
+    """The column that tells rows apart: the one given, else the first one."""
+    if key:
+        return key
+    if not df.columns:
+        raise ValueError("a table without columns has no key")
+    return df.columns[0]
+
+
 def data_freshness(df: DataFrame, time: str, now: Column, minutes: int = FRESH_MINUTES) -> DataFrame:
     """The latest time, its age in seconds, and whether that is within the limit; a table without times is not fresh."""
     out = df.agg(F.max(c(time)).alias("latest"))
@@ -168,28 +184,42 @@ def as_result(check: Callable[[], DataFrame], name: str, verdict: str = "is_vali
         return {**base, verdict: False, "error": str(e).splitlines()[0]}
 
 
-def run_suite(spark: SparkSession, source: DataFrame, target: DataFrame, key: str = "id", time: str | None = None, snapshots: DataFrame | None = None, manifests: DataFrame | None = None, partitions: Sequence[str] = ("year", "month"), sample_size: int = 1000) -> dict:
-    """All checks there is data for, each guarded, and their summary."""
+def run_suite(
+    spark: SparkSession, source: DataFrame, target: DataFrame, key: str | None = None, time: str | None = None, snapshots: DataFrame | None = None, manifests: DataFrame | None = None, partitions: Sequence[str] = ("year", "month"),
+    sample_size: int = 1000, columns: Sequence[str] = (), source_time: str | None = None, loaded: str = "processing_time", log: DataFrame | None = None, offsets: DataFrame | None = None, operation: str = "operation",
+) -> dict:
+    """All checks there is data for, each guarded, and their summary.
+
+    Counted in the rate: row count, sampling, checksum (of `columns`), combined lag (`source_time` on both sides) and
+    freshness. Health, how far the log has been processed and the kinds of events are reported beside it.
+    """
+    key = default_key(source, key)
     results = {"row_count": as_result(lambda: row_count(source, target), "row_count"), "sampling": as_result(lambda: sample_match(source, target, key, sample_size), "sampling")}
     if snapshots is not None:
         health = as_result(lambda: table_health(snapshots, snapshots if manifests is None else manifests, partition_balance(target, partitions), F.current_timestamp()), "table_health", "healthy")
         results["table_health"] = {**health, "healthy": health.get("health_score", 0) >= HEALTH_WARNING}
+    if columns:
+        results["checksum"] = as_result(lambda: checksum_match(source, target, columns), "checksum")
+    if source_time:
+        lag = as_result(lambda: combined_lag(source, target, source_time, loaded), "combined_lag", "is_acceptable")
+        results["combined_lag"] = {**lag, "is_valid": lag["is_acceptable"]}
+    if log is not None and offsets is not None:
+        results["message_tracking"] = as_result(lambda: message_lag(log, offsets).agg(F.count("*").alias("partitions"), F.coalesce(F.sum("behind"), F.lit(0)).alias("behind")), "message_tracking", "tracked")
+    if operation in target.columns:
+        kinds = F.map_from_entries(F.collect_list(F.struct(F.coalesce("event_type", F.lit("null")), "events")))  # a row for each kind
+        results["event_types"] = as_result(lambda: event_type_counts(target, operation).agg(kinds.alias("events")), "event_types", "counted")
     if time:
         results["freshness"] = as_result(lambda: data_freshness(target, time, F.current_timestamp()), "freshness", "is_fresh")
-    ok = [r.get("is_valid", r.get("is_fresh", r.get("healthy", False))) for r in results.values()]
+    ok = [r.get("is_valid", r.get("is_fresh", False)) for n, r in results.items() if n not in ("table_health", "message_tracking", "event_types")]
     summary = suite_summary(spark.createDataFrame([(bool(x),) for x in ok], "passed boolean")).first().asDict()
     return {"results": results, "summary": summary}
 
 
-def save_results(results: dict, folder: str, table: str) -> str | None:
-    """Write results as JSON beside a time stamp; None if that fails."""
-    import os
-
+def save_results(spark: SparkSession, results: dict, folder: str, table: str) -> str | None:
+    """Write results as JSON under a name with a time stamp, to any file system Spark reaches; None if that fails."""
     try:
-        os.makedirs(folder, exist_ok=True)
-        at = os.path.join(folder, f"{table}_validation_{datetime.now():%Y%m%d_%H%M%S}.json")
-        with open(at, "w") as f:
-            json.dump(results, f, indent=2, default=str)
-        return at
-    except OSError:
+        files = Files(spark, folder)
+        at = f"{files.root}/{table}_validation_{datetime.now():%Y%m%d_%H%M%S_%f}.json"
+        return at if files.create(at, json.dumps(results, indent=2, default=str)) else None
+    except Exception:  # what the file system says is a Java exception
         return None

@@ -6,6 +6,8 @@ then, fields of an item, a delete flag, a partition and a sequence number.
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import decode, ledger, maintain, merge, monitor, mutate, validate, workload
 from tidemark.session import work_dir
-from tidemark.sources.catalog import table_exists as exists_in_catalog
+from tidemark.sources import catalog
 from tidemark.sources.log import parquet_stream, snapshot_then_changes as tagged_union
 from tidemark.sources.tables import table
 from tidemark.store import Files, SnapshotTable
@@ -101,9 +103,37 @@ def session_smoke(spark, d):
     return spark.sql("SELECT 1 AS one")
 
 
-@query("SELECT false AS found")
+@query("SELECT * FROM (VALUES ('before', false), ('created', true), ('created again', true), ('dropped', false)) AS v(step, found)")
 def table_exists(spark, d):
-    return spark.sql("SELECT 1 AS one").select(F.lit(exists_in_catalog(spark, "no_such_table_of_items")).alias("found"))
+    space = f"tidemark_{uuid.uuid4().hex[:12]}"
+    catalog.create_namespace(spark, space)
+    name, steps = f"{space}.items", []
+    probe = lambda step: steps.append((step, catalog.table_exists(spark, name)))
+    try:
+        probe("before")
+        for step in ("created", "created again"):
+            catalog.create_items(spark, name)
+            probe(step)
+        catalog.drop_table(spark, name)
+        probe("dropped")
+    finally:
+        spark.sql(f"DROP NAMESPACE IF EXISTS {space} CASCADE")
+    return spark.createDataFrame(steps, "step string, found boolean")
+
+
+@query("SELECT * FROM (VALUES ('items', 10), ('offsets', 5), ('batches', 3)) AS v(name, n_columns)")
+def catalog_tables(spark, d):
+    """The tables of a new namespace, with as many columns as each has."""
+    space = f"tidemark_{uuid.uuid4().hex[:12]}"
+    catalog.create_namespace(spark, space)
+    try:
+        assert catalog.namespaces(spark).where(F.col("namespace") == space).count() == 1
+        catalog.create_items(spark, f"{space}.items")
+        catalog.create_ledgers(spark, f"{space}.offsets", f"{space}.batches")
+        out = [(n, len(spark.table(f"{space}.{n}").columns)) for n in ("items", "offsets", "batches")]
+    finally:
+        spark.sql(f"DROP NAMESPACE IF EXISTS {space} CASCADE")
+    return spark.createDataFrame(out, "name string, n_columns int")
 
 
 # -- decoding
@@ -261,20 +291,19 @@ def sink_rename_upsert(spark, d):
     CASE json_type(jdesc) WHEN 'VARCHAR' THEN json_extract_string(p, '$.description') WHEN 'NULL' THEN NULL ELSE CAST(jdesc AS VARCHAR) END AS description,
     try_cast(CAST(jprice AS VARCHAR) AS INTEGER) AS price, CASE WHEN joffer IS NULL THEN false WHEN json_type(joffer) = 'NULL' THEN NULL ELSE CAST(joffer AS VARCHAR) = 'true' END AS on_offer,
     lower(coalesce(jdel, 'false')) = 'true' AS gone FROM m WHERE reason = 'ok'),
-  r AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY processing_time DESC NULLS LAST, "offset" DESC, "partition" DESC, topic DESC) AS rn FROM i)
-  SELECT id, name, description, price, on_offer, CASE WHEN id IS NULL THEN 'c' ELSE 'u' END AS operation, processing_time, strftime(processing_time, '%Y') AS year, strftime(processing_time, '%m') AS month, 'stream-0' AS batch_id
+  r AS (SELECT *, row_number() OVER (PARTITION BY coalesce(CAST(id AS VARCHAR), topic || '/' || "partition" || '/' || "offset") ORDER BY processing_time DESC NULLS LAST, "offset" DESC, topic DESC, "partition" DESC) AS rn FROM i)
+  SELECT topic, "partition", "offset", id, name, description, price, on_offer, CASE WHEN id IS NULL THEN 'c' ELSE 'u' END AS operation, processing_time, strftime(processing_time, '%Y') AS year, strftime(processing_time, '%m') AS month
   FROM r WHERE rn = 1 AND NOT gone""")
 def stream_current_items(spark, d):
-    from tidemark.streaming.items import start
+    """The log comes in three micro-batches that share it out by hash, so younger events come before older ones."""
+    from tidemark.streaming import items
 
     at = work_dir(spark, "stream")
-    t = merge.MergeTable(spark, f"{at}/table", tombstones="ignore")
-    kinds = spark.read.parquet(f"{d}/topic_log.parquet").schema
-    folder = any(n == "topic_log.parquet" and is_folder for n, _, _, is_folder in Files(spark, d).listing(d))
-    stream = parquet_stream(spark, f"{d}/topic_log.parquet", kinds) if folder else parquet_stream(spark, d, kinds, only="topic_log.parquet")
-    stream = stream.withColumn("append_time", F.col("append_time").cast("timestamp"))
-    start(stream, t, f"{at}/checkpoint", SnapshotTable(spark, f"{at}/rejects"), every=None).awaitTermination()
-    return t.rows()
+    log = table(spark, d, "topic_log")
+    log.repartition(3, F.xxhash64("topic", "partition", "offset")).write.parquet(f"{at}/log")
+    t = items.item_table(spark, f"{at}/table")
+    items.start(parquet_stream(spark, f"{at}/log", log.schema), t, f"{at}/checkpoint", SnapshotTable(spark, f"{at}/rejects"), every=None).awaitTermination()
+    return items.current_items(t).drop("batch_id")
 
 
 # -- ledgers
@@ -364,17 +393,26 @@ def row_count_check(spark, d):
 
 
 @query("""WITH t AS (SELECT o_orderkey || '#' || coalesce(o_orderstatus, '') || '#' || coalesce(o_orderpriority, '') AS t FROM orders),
-  n AS (SELECT t, t || '*' || count(*) AS one FROM t GROUP BY t), p AS (SELECT substr(md5(t), 1, 1) AS p, md5(string_agg(one, ',' ORDER BY one)) AS m FROM n GROUP BY 1)
+  n AS (SELECT t, t || '*' || count(*) AS one FROM t GROUP BY t), p6 AS (SELECT substr(md5(t), 1, 6) AS p, md5(string_agg(one, ',' ORDER BY one)) AS m FROM n GROUP BY 1),
+  p4 AS (SELECT substr(p, 1, 4) AS q, md5(string_agg(p || ':' || m, ',' ORDER BY p || ':' || m)) AS m FROM p6 GROUP BY 1), p AS (SELECT substr(q, 1, 2) AS p, md5(string_agg(q || ':' || m, ',' ORDER BY q || ':' || m)) AS m FROM p4 GROUP BY 1)
   SELECT md5(string_agg(p || ':' || m, ',' ORDER BY p || ':' || m)) AS checksum FROM p""")
 def table_checksum(spark, d):
     return validate.table_checksum(table(spark, d, "orders"), ("o_orderkey", "o_orderstatus", "o_orderpriority"))
 
 
-@query("SELECT count(*) AS rows, true AS is_valid FROM orders")
+@query("""SELECT 'in another order' AS target, count(*) AS rows, true AS is_valid FROM orders UNION ALL SELECT 'a value changed', count(*), count(*) = 0 FROM orders
+  UNION ALL SELECT 'a row twice', count(*), count(*) = 0 FROM orders""")
 def checksum_match(spark, d):
     o = table(spark, d, "orders")
-    out = validate.checksum_match(o, o.orderBy(F.col("o_custkey").desc()), ("o_orderkey", "o_orderstatus", "o_orderpriority"))
-    return out.select("source.rows", "is_valid")
+    columns = ("o_orderkey", "o_orderstatus", "o_orderpriority")
+    last = o.agg(F.max("o_orderkey")).first()[0]
+    changed = o.withColumn("o_orderstatus", F.when(F.col("o_orderkey") == last, "?").otherwise(F.col("o_orderstatus")))
+    targets = {"in another order": o.repartition(7, "o_custkey"), "a value changed": changed, "a row twice": o.unionByName(o.where(F.col("o_orderkey") == last))}
+    out = None
+    for name, target in targets.items():
+        one = validate.checksum_match(o, target, columns).select(F.lit(name).alias("target"), "source.rows", "is_valid")
+        out = one if out is None else out.unionByName(one)
+    return out
 
 
 _SAMPLE = """k AS (SELECT o_orderkey FROM orders ORDER BY md5(CAST(o_orderkey AS VARCHAR)), o_orderkey LIMIT 1000),
@@ -422,9 +460,31 @@ def data_freshness(spark, d):
     return validate.data_freshness(table(spark, d, "events"), "ts", F.lit("2024-01-31 00:00:00").cast("timestamp"))
 
 
-@query("SELECT event_type, count(*) AS events FROM events GROUP BY 1")
+@query("SELECT operation AS event_type, count(*) AS events FROM item_changes GROUP BY 1")
 def cdc_event_type_counts(spark, d):
-    return validate.event_type_counts(table(spark, d, "events"), "event_type")
+    return validate.event_type_counts(table(spark, d, "item_changes"))
+
+
+@query("""WITH h AS (SELECT topic, "partition", min("offset") AS lo, max("offset") AS last_offset FROM topic_log WHERE "offset" IS NOT NULL GROUP BY 1, 2),
+  p AS (SELECT topic, "partition", max("offset") AS processed_offset FROM kafka_offsets WHERE "offset" >= 0 GROUP BY 1, 2)
+  SELECT h.topic, h."partition", last_offset, processed_offset, greatest(0, last_offset - coalesce(processed_offset, lo - 1)) AS behind FROM h LEFT JOIN p ON h.topic = p.topic AND h."partition" = p."partition" """)
+def message_lag(spark, d):
+    return validate.message_lag(table(spark, d, "topic_log"), table(spark, d, "kafka_offsets"))
+
+
+@query("""SELECT * FROM (VALUES ('row_count'), ('sampling'), ('checksum'), ('combined_lag'), ('message_tracking'), ('event_types'), ('freshness')) AS v(name)""")
+def validation_report(spark, d):
+    """The names of a suite's results, as they come back from its saved report; an error in one of them is raised."""
+    at = work_dir(spark, "report")
+    target = table(spark, d, "items")
+    got = validate.run_suite(spark, table(spark, d, "items_source"), target, time="processing_time", columns=("id", "price"), log=table(spark, d, "topic_log"), offsets=table(spark, d, "kafka_offsets"))
+    lag = validate.run_suite(spark, target, target, source_time="processing_time")["results"]["combined_lag"]
+    got["results"]["combined_lag"] = lag
+    if bad := {n: r["error"] for n, r in got["results"].items() if "error" in r}:
+        raise RuntimeError(str(bad))
+    saved = validate.save_results(spark, got, at, "items")
+    kept = json.loads(Files(spark, at).read(saved))["results"]
+    return spark.createDataFrame([(n,) for n in kept], "name string")
 
 
 # -- monitoring
@@ -433,7 +493,7 @@ _STATE = "CASE WHEN s_suppkey % 7 = 0 THEN 'FAILED' WHEN s_suppkey % 5 = 0 THEN
 
 
 @query(f"""WITH s AS (SELECT s_name AS connector, {_STATE} AS connector_state, CASE WHEN s_suppkey % 4 = 0 THEN 0 ELSE 2 END AS tasks, CASE WHEN s_suppkey % 4 <> 0 AND s_suppkey % 3 = 0 THEN 1 ELSE 0 END AS failed_tasks FROM supplier)
-  SELECT *, connector_state = 'RUNNING' AND failed_tasks = 0 AS running FROM s""")
+  SELECT *, connector_state = 'RUNNING' AND failed_tasks = 0 AS running, CASE WHEN failed_tasks > 0 THEN 't' END AS failure FROM s""")
 def connector_status(spark, d):
     k = F.col("s_suppkey")
     state = F.when(k % 7 == 0, "FAILED").when(k % 5 == 0, "PAUSED").otherwise("RUNNING")
@@ -453,13 +513,13 @@ def replication_lag(spark, d):
 
 # -- health and upkeep
 
-_SNAPS = "snaps AS (SELECT event_id AS snapshot_id, ts AS made_current_at FROM events WHERE user_id = 1)"
+_SNAPS = "snaps AS (SELECT event_id AS snapshot_id, ts AS made_current_at FROM events)"
 _BALANCE = """bal AS (SELECT count(*) AS partitions, min(n) AS least_rows, max(n) AS most_rows, avg(n) AS mean_rows, count(*) FILTER (WHERE n < 1000) AS small_partitions, coalesce(max(n) > 10 * avg(n), false) AS is_skewed
   FROM (SELECT user_id, count(*) AS n FROM events GROUP BY 1))"""
 
 
 def _snapshots(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "events").where("user_id = 1").select(F.col("event_id").alias("snapshot_id"), F.col("ts").alias("made_current_at"))
+    return table(spark, d, "events").select(F.col("event_id").alias("snapshot_id"), F.col("ts").alias("made_current_at"))
 
 
 @query(f"WITH {_BALANCE} SELECT * FROM bal")
@@ -468,14 +528,13 @@ def partition_balance(spark, d):
 
 
 @query(f"""WITH {_SNAPS}, {_BALANCE}, x AS (SELECT (SELECT count(*) FROM snaps) AS snapshots_count, (SELECT count(*) FROM snaps WHERE made_current_at < TIMESTAMP '{_NOW}' - INTERVAL 7 DAYS) AS old_snapshots,
-    (SELECT max(made_current_at) FROM snaps) AS last_modified, (SELECT count(*) FROM events WHERE user_id = 2) * 3 AS manifests_count),
+    (SELECT max(made_current_at) FROM snaps) AS last_modified, (SELECT count(*) FROM data_files) AS manifests_count),
   y AS (SELECT *, CAST(100 - CASE WHEN old_snapshots > 5 THEN least(20, 2 * old_snapshots) ELSE 0 END - CASE WHEN manifests_count > 100 THEN least(20, (manifests_count - 100) // 10) ELSE 0 END
     - CASE WHEN is_skewed THEN 15 ELSE 0 END - CASE WHEN small_partitions > 10 THEN least(10, small_partitions // 2) ELSE 0 END AS INT) AS health_score FROM x, bal)
   SELECT *, CASE WHEN health_score < 70 THEN 'Poor' WHEN health_score < 90 THEN 'Warning' ELSE 'Good' END AS health_level FROM y""")
 def table_health(spark, d):
     e = table(spark, d, "events")
-    manifests = e.where("user_id = 2").withColumn("copy", F.explode(F.array(*map(F.lit, range(3)))))
-    return validate.table_health(_snapshots(spark, d), manifests, validate.partition_balance(e, ("user_id",)), F.lit(_NOW).cast("timestamp"))
+    return validate.table_health(_snapshots(spark, d), table(spark, d, "data_files"), validate.partition_balance(e, ("user_id",)), F.lit(_NOW).cast("timestamp"))
 
 
 def _three_versions(spark: SparkSession, d: str) -> SnapshotTable:
@@ -535,6 +594,19 @@ def suite_summary(spark, d):
     return validate.suite_summary(table(spark, d, "events").select((F.col("event_type") != "error").alias("passed")))
 
 
+@query("SELECT 'Test Item ' || (i // 5) || '-' || (i % 5) AS name, CAST(i % 5 * 1000 AS INT) AS price, i % 5 % 2 = 0 AS on_offer FROM range(50) AS t(i)")
+def workload_seed(spark, d):
+    return workload.seed_items(spark)
+
+
+@query("SELECT CAST(1000 AS BIGINT) AS operations, CAST(1000 AS BIGINT) AS numbers, true AS prices, true AS users, true AS repeated")
+def workload_operations(spark, d):
+    """A workload has each number once, prices and users within their limits, and is the same when made again, in other partitions."""
+    one, two = workload.workload(spark, 1000, seed=7), workload.workload(spark, 1000, seed=7, partitions=3)
+    differing = one.exceptAll(two).count()
+    return one.agg(F.count("*").alias("operations"), F.count_distinct("operation_no").alias("numbers"), F.every(F.col("price").between(500, 10_000)).alias("prices"), F.every(F.col("user").between(0, 9)).alias("users"), F.lit(differing == 0).alias("repeated"))
+
+
 @query("SELECT CASE WHEN event_id % 12 < 3 THEN 'list' WHEN event_id % 12 < 7 THEN 'get' WHEN event_id % 12 < 9 THEN 'create' WHEN event_id % 12 < 11 THEN 'update' ELSE 'delete' END AS action, count(*) AS n FROM events GROUP BY 1")
 def workload_mix(spark, d):
     return workload.mix(table(spark, d, "events"), F.col("event_id")).groupBy("action").agg(F.count("*").alias("n"))

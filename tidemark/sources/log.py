@@ -71,6 +71,40 @@ def connector_config(name: str, host: str, database: str, table: str = "public.i
     }
 
 
+def sink_config(name: str, topics: str, table: str = "items", catalog_uri: str = "", key: str = "id", tasks: int = 1) -> dict:
+    """The sink connector's registration: upserts by key into a table, deletes by the flag that `__deleted` is renamed to."""
+    return {
+        "name": name,
+        "config": {
+            "tasks.max": str(tasks),
+            "topics": topics,
+            "tables": table,
+            "catalog.uri": catalog_uri,
+            "tables.default-id-columns": key,
+            "tables.upsert-mode-enabled": "true",
+            "tables.cdc-field": "_deleted",
+            "transforms": "rename",
+            "transforms.rename.type": "org.apache.kafka.connect.transforms.ReplaceField$Value",
+            "transforms.rename.renames": "__deleted:_deleted",
+        },
+    }
+
+
+def registration(config: dict, existing: list[str]) -> list[tuple[str, str, dict | None]]:
+    """The REST calls that put a connector in place: one of that name is deleted first. (method, path, body)"""
+    name = config["name"]
+    drop = [("DELETE", f"/connectors/{name}", None)] if name in existing else []
+    return [*drop, ("POST", "/connectors", config)]
+
+
+def resume_options(servers: str, topic: str, ledger: DataFrame, **more) -> dict[str, str]:
+    """Kafka options that start after the ledger's last committed offsets; from the earliest where it has none."""
+    from tidemark.operators.ledger import resume_offsets, starting_offsets
+
+    at = [tuple(r) for r in resume_offsets(ledger, topic).where("topic IS NOT NULL AND partition IS NOT NULL").collect()]  # a row for each partition
+    return kafka_options(servers, topic, starting=starting_offsets(at) if at else None, **more)
+
+
 def snapshot_then_changes(snapshot: DataFrame, changes: DataFrame, operation: str = "operation") -> DataFrame:
     """The initial snapshot tagged `r`, followed by the changes, as one relation."""
     from pyspark.sql import functions as F
