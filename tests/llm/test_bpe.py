@@ -1,9 +1,11 @@
 import os
+import random
 
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from tidemark.llm import bpe
 from tidemark.llm.bpe import SHORT, PairRanks, merge_many, merge_one, read_ranks
 from tidemark.llm.encode import vocabulary_path
 
@@ -91,3 +93,33 @@ def test_every_ascii_character_between_others():
         for b in ("", "a", "1", " ", "  ", "\n", "'", "'s", "\x1c", "_"):
             for t in (a + b, b + a, b + a + b, a + b + a):
                 assert re.findall(ASCII_PATTERN, t) == regex.findall(PATTERN, t), repr(t)
+
+
+def test_long_pieces_across_the_leaves_of_the_tree():
+    r = random.Random(8)
+    ranks = {bytes([b]): b for b in range(256)}
+    for _ in range(300):
+        a, b = r.choice(list(ranks)), r.choice([x for x in ranks if len(x) < 4])
+        if len(a + b) < 9 and set(a + b) <= set(b"abcd") or r.random() < 0.05:
+            ranks.setdefault(a + b, len(ranks))
+    for x in (b"ab", b"bc", b"abc", b"cd", b"abab", b"aa", b"aaaa"):
+        ranks.setdefault(x, len(ranks))
+    pairs = bpe.PairRanks(ranks)
+    for n in (63, 64, 65, 127, 128, 129, 200, 700):
+        piece = bytes(r.choice(b"abcd") for _ in range(n))
+        assert bpe.merge_one(piece, pairs) == plain(piece, ranks)
+
+
+def plain(piece, ranks):
+    t = [bytes([b]) for b in piece]
+    while True:
+        best = min(((ranks[t[i] + t[i + 1]], i) for i in range(len(t) - 1) if t[i] + t[i + 1] in ranks), default=None)
+        if best is None:
+            return [ranks[x] for x in t]
+        i = best[1]
+        t[i : i + 2] = [t[i] + t[i + 1]]
+
+
+def test_a_vocabulary_too_large_is_refused():
+    with pytest.raises(ValueError):
+        bpe.PairRanks({**{bytes([b]): b for b in range(256)}, b"ab": 1 << 22})

@@ -71,7 +71,7 @@ def test_edges(spark, at):
     with pytest.raises(ValueError):
         pack(spark, spark.createDataFrame([(1, -1, "")], KIND), path=f"{at}/b")
     with pytest.raises(ValueError):
-        pack(spark, spark.createDataFrame([(1, 1, "")], KIND), tokens=10, attention=99, path=f"{at}/c")
+        pack(spark, spark.createDataFrame([(1, 1, "")], KIND), tokens=10, attention=0, path=f"{at}/c")
     same = spark.createDataFrame([(i, 1, "") for i in range(1000)], KIND)
     got = pack(spark, same, tokens=100, documents=10, path=f"{at}/d").collect()
     assert len({r.container for r in got}) == 100
@@ -91,3 +91,23 @@ def test_equal_ids_are_spread_over_shards(spark, at):
     pack(spark, df, tokens=1000, shard_tokens=10_000, path=at)
     shards = spark.read.parquet(f"{at}/round1").selectExpr("(container >> 28) & 268435455 AS s").groupBy("s").count().collect()
     assert len(shards) == 4 and max(r["count"] for r in shards) < 200
+
+
+def test_attention_binds_in_whole_tables(spark, at):
+    rng = np.random.default_rng(4)
+    sizes = [int(x) for x in rng.integers(1, 1000, 600)]
+    df = spark.createDataFrame([(i, n, "") for i, n in enumerate(sizes)], KIND)
+    limit = 500_000
+    per = defaultdict(list)
+    for r in pack(spark, df, tokens=1000, documents=50, attention=limit, path=at).collect():
+        per[r.container].append(r.n_tokens)
+    assert sorted(n for v in per.values() for n in v) == sorted(sizes)
+    assert all(sum(v) <= 1000 and len(v) <= 50 for v in per.values())
+    assert all(sum(n * n for n in v) <= limit for v in per.values() if len(v) > 1)
+    alone = [n for n in sizes if n * n > limit]
+    assert alone and sum(len(v) == 1 and v[0] ** 2 > limit for v in per.values()) == len(alone)
+    # without the limit some containers of several pieces would be above it
+    free = defaultdict(list)
+    for r in pack(spark, df, tokens=1000, documents=50, path=f"{at}/free").collect():
+        free[r.container].append(r.n_tokens)
+    assert any(len(v) > 1 and sum(n * n for n in v) > limit for v in free.values())

@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 
 from tests.conftest import rows
-from tidemark.llm.quality import COLUMNS, PROFILES, Quality, jensen_shannon, layout, text_quality
+from tidemark.llm.quality import COLUMNS, PROFILES, Lexicon, Quality, function_counts, jensen_shannon, layout, text_quality
 
 WORDS = [("en", w) for w in "the of and a to in is was that it for on with as had we by not be this were from but".split()] + [("de", w) for w in "der die das und nicht ist war wurde wir den mit auf".split()] + [("zh", w) for w in "的 了 不 也".split()]
 PROSE = "The river had risen in the night and the bridge was closed. We waited for the boat that was to bring us over, but it was late and it was cold."
@@ -129,3 +129,22 @@ def test_fragments_repeated_in_more_than_half(quality, text):
 def test_fragments_repeated_in_less_than_half(quality):
     got = quality.measure([OTHER + FOUR + "The lamp was late and it was cold. " * 6, OTHER + FOUR])
     assert got["not_prose"] == [False, False] and 0.5 < got["prose_share"][0] < 0.8 and got["prose_share"][1] == 1
+
+
+def test_profiles_are_counted_over_all_documents(spark):
+    words = [("en", "the"), ("en", "of"), ("en", "and"), ("de", "der"), ("de", "und")]
+    df = spark.createDataFrame([(1, "the cat and the dog of the house"), (2, "der Hund und der Mann"), (3, None), (4, ""), (5, "the the")], "doc_id bigint, text string")
+    got = function_counts(df.repartition(3), words)
+    assert {k: n for k, n in got.items() if k[0] in ("en", "de")} == {("en", "the"): 5, ("en", "and"): 1, ("en", "of"): 1, ("de", "der"): 2, ("de", "und"): 1}
+    x = Lexicon(words, got)
+    assert x.profiles[x.languages.index("en"), x.index["the"]] > x.profiles[x.languages.index("en"), x.index["of"]] and abs(x.profiles.sum(1) - 1).max() < 1e-9
+    near, none = np.zeros(len(x.index)), np.zeros(len(x.index))
+    near[x.index["the"]] = 3
+    assert x.far(near, "en") < x.far(near, "de") and x.far(none, "en") == 1.0
+
+
+def test_a_short_sentence_of_few_function_words_is_prose(spark):
+    words = [("fr", w) for w in "le la les de des et est un une pour dans cette".split()]
+    df = spark.createDataFrame([(i, "Personne ne savait à qui appartenait cette table.") for i in range(3)] + [(9, "Le chat est dans la maison et les enfants de la ville jouent dans le jardin.")], "doc_id bigint, text string")
+    got = text_quality(df, spark.createDataFrame(words, "lang string, word string"))
+    assert got.where("not_prose").count() == 0

@@ -15,6 +15,7 @@ def test_every_document_is_answered_for(spark):
     assert ids.count() == n and ids.where("ids IS NULL").count() == 0
     assert queries.p8_containers(spark, DATA).select("doc_id").distinct().count() == n
     assert queries.p8_fill(spark, DATA).first().filled > 0.9
+    assert queries.p8_check(spark, DATA).first().asDict() == {"documents": n, "incomplete": 0, "cut_short": 0, "over_tokens": 0, "over_documents": 0, "over_attention": 0, "near_bound": True}
     stats = queries.p9_statistics(spark, DATA)
     assert stats.count() == n and 0.1 < queries.p9_found(spark, DATA).count() / n < 0.6
     total = ids.selectExpr("sum(size(ids)) AS n").first().n

@@ -5,7 +5,8 @@ the next live token (none: infinite); an inner node holds the least rank below i
 So the root is the next merge. A merge changes at most three leaves (the pair, the token it swallowed and the
 pair before it), each updated along one path to the root. It ends when the root is infinite.
 
-Two forms give the same result: `merge_one` for a single piece, of any length, in n log n steps; and
+Two forms give the same result: `merge_one` for a single piece, of any length, in n log n steps, whose leaves hold
+the least of several neighbouring positions, as memory counts there; and
 `merge_many`, which keeps the trees of many short pieces in one array and takes a merge in all of them at once.
 """
 
@@ -19,6 +20,10 @@ import numpy as np
 _NONE = np.int64(1) << 62
 _POS = 40
 _MASK = (1 << _POS) - 1
+#: A pair's number is its first token in these steps, and its second; tokens are below 2^_PAIR, and ranks below 2^22.
+_PAIR = 31
+#: Positions below one leaf of the tree of a single piece.
+LEAF = 64
 #: Pieces up to so many bytes are merged together in arrays.
 SHORT = 32
 
@@ -33,6 +38,8 @@ class PairRanks:
     """Which two adjacent tokens merge, and into which; the merged token's id is the pair's rank."""
 
     def __init__(self, ranks: dict[bytes, int]):
+        if max(ranks.values(), default=0) >= 1 << 22:
+            raise ValueError("a vocabulary of more than 4,194,304 tokens")
         self.byte = np.array([ranks[bytes([b])] for b in range(256)], dtype=np.int64)
         self.pairs: dict[int, int] = {}
         get = ranks.get
@@ -40,7 +47,7 @@ class PairRanks:
             for i in range(1, len(token)):
                 a, b = get(token[:i]), get(token[i:])
                 if a is not None and b is not None:
-                    self.pairs[a << 20 | b] = rank
+                    self.pairs[a << _PAIR | b] = rank
         # open addressing, so that an array of pairs is looked up in a few steps
         self.bits = max(4, int(len(self.pairs) * 3).bit_length())
         size = 1 << self.bits
@@ -64,7 +71,7 @@ class PairRanks:
 
     def lookup(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Ranks of pairs; _NONE where a pair doesn't merge or a part is missing (below 0)."""
-        k = a << 20 | b
+        k = a << _PAIR | b
         out = np.full(len(k), _NONE, np.int64)
         todo = np.flatnonzero((a >= 0) & (b >= 0))
         at = self._slot(k[todo])
@@ -78,36 +85,49 @@ class PairRanks:
 
 
 def merge_one(piece: bytes, ranks: PairRanks) -> list[int]:
+    """A single piece of any length. A leaf of the tree holds the least of `LEAF` positions, so a byte takes about 20 bytes of memory."""
     n = len(piece)
-    tok = ranks.byte[np.frombuffer(piece, np.uint8)].tolist()
+    tok = array("i", ranks.byte[np.frombuffer(piece, np.uint8)].astype(np.int32).tobytes())
     if n < 2:
-        return tok
+        return tok.tolist()
     get, none = ranks.pairs.get, int(_NONE)
-    size = 1 << (n - 1).bit_length()
+    first = ranks.byte[np.frombuffer(piece, np.uint8)]
+    leaves = -(-n // LEAF)
+    low = np.full(leaves * LEAF, _NONE, np.int64)
+    for lo in range(0, n - 1, 1 << 20):  # in runs, so that no more than a run is looked up at once
+        hi = min(n - 1, lo + (1 << 20))
+        r = ranks.lookup(first[lo:hi], first[lo + 1 : hi + 1])
+        low[lo:hi] = np.where(r == _NONE, _NONE, (r << _POS) | np.arange(lo, hi))
+    del first
+    size = 1 << (leaves - 1).bit_length()
     tree = [none] * (2 * size)
-    for i in range(n - 1):
-        r = get(tok[i] << 20 | tok[i + 1])
-        if r is not None:
-            tree[size + i] = r << _POS | i
+    tree[size : size + leaves] = low.reshape(leaves, LEAF).min(axis=1).tolist()
+    low = array("q", low.tobytes())
     for i in range(size - 1, 0, -1):
         a, b = tree[2 * i], tree[2 * i + 1]
         tree[i] = a if a < b else b
-    nxt, prv = list(range(1, n + 1)), list(range(-1, n - 1))
+    nxt, prv = array("i", np.arange(1, n + 1, dtype=np.int32).tobytes()), array("i", np.arange(-1, n - 1, dtype=np.int32).tobytes())
 
     def put(i: int, value: int) -> None:
-        i += size
-        tree[i] = value
-        i >>= 1
+        was, low[i] = low[i], value
+        leaf = i // LEAF
+        i = leaf + size
+        if value <= tree[i]:
+            v = value
+        elif was == tree[i]:
+            v = min(low[leaf * LEAF : (leaf + 1) * LEAF])
+        else:
+            return
         while i:
-            a, b = tree[2 * i], tree[2 * i + 1]
-            v = a if a < b else b
             if tree[i] == v:
                 return
             tree[i] = v
             i >>= 1
+            a, b = tree[2 * i], tree[2 * i + 1]
+            v = a if a < b else b
 
     def rank(i: int, j: int) -> int:
-        r = get(tok[i] << 20 | tok[j])
+        r = get(tok[i] << _PAIR | tok[j])
         return none if r is None else r << _POS | i
 
     while (top := tree[1]) != none:

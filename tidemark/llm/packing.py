@@ -7,7 +7,8 @@ dot product with it (`rule="dot"`). An item's needs follow from its length, so c
 lengths still there: at most `tokens` of them, however many items there are.
 
 Only texts longer than the capacity are cut, into pieces of exactly the capacity and a rest; whole pieces are
-containers of their own and never meet others. All other items are spread by hash over shards of about
+containers of their own and never meet others. A piece whose attention cost alone is above that capacity cannot be
+cut for it, so it has a container of its own too: the limit holds for every container of more than one piece. All other items are spread by hash over shards of about
 `shard_tokens` tokens, each filled in one task; containers that end up less than `full` are opened again and
 their items packed anew, in shards of the same size, so that of all shards' rests one remains. The two rounds
 cost one shuffle each of (id, piece, length).
@@ -86,18 +87,22 @@ def _packed(items: DataFrame, shards: int, salt: int, limits: tuple, weights: Se
 def pack(spark: SparkSession, sizes: DataFrame, item: str = "doc_id", size: str = "n_tokens", tokens: int = 4096, documents: int = 256, attention: int | None = None, weights: Sequence[float] = (1.0, 0.05, 0.05), rule: str = "norm", shard_tokens: int = 4_000_000, full: float = 0.98, path: str | None = None) -> DataFrame:
     """item, piece, start, n_tokens, container: where every item, or every piece of one too long, goes."""
     attention = tokens * tokens if attention is None else attention
-    if attention < tokens * tokens:
-        raise ValueError("a text of full length must fit its container: attention below tokens squared")
+    if min(tokens, documents, attention) < 1:
+        raise ValueError("every capacity must be at least 1")
     path = path or work_dir(spark, "pack")
     sizes.select(c(item).alias("id"), F.coalesce(c(size), F.lit(0)).cast("bigint").alias("n"), F.monotonically_increasing_id().alias("item_row")).write.parquet(f"{path}/sizes")
     all_items = spark.read.parquet(f"{path}/sizes")
-    least, rest_tokens, rest_items = all_items.agg(F.min("n"), F.sum(F.col("n") % tokens), F.count(F.when(F.col("n") % tokens > 0, 1))).first()
+    rest = F.col("n") % tokens
+    shared = (rest > 0) & (rest * rest <= attention)
+    least, rest_tokens, rest_items = all_items.agg(F.min("n"), F.sum(F.when(shared, rest)), F.count(F.when(shared, 1))).first()
     if least is not None and least < 0:
         raise ValueError("sizes below 0")
     none = all_items.where("n = 0").select("id", F.lit(0).alias("piece"), F.lit(0).cast("bigint").alias("n_tokens"), F.lit(None).cast("string").alias("container"))
     whole = all_items.where(f"n >= {tokens}").select("id", F.explode(F.sequence(F.lit(0), F.expr(f"CAST(n DIV {tokens} - 1 AS INT)"))).alias("piece"), F.lit(tokens).cast("bigint").alias("n_tokens"), "item_row")
     whole = whole.select("id", "piece", "n_tokens", F.concat(F.lit("w"), F.col("item_row").cast("string"), F.lit("-"), F.col("piece").cast("string")).alias("container"))
-    rests = all_items.where(f"n % {tokens} > 0").select("id", F.expr(f"CAST(n DIV {tokens} AS INT)").alias("piece"), F.expr(f"n % {tokens}").alias("n_tokens"), "item_row")
+    rests = all_items.where(rest > 0).select("id", F.expr(f"CAST(n DIV {tokens} AS INT)").alias("piece"), rest.alias("n_tokens"), "item_row", shared.alias("shared"))
+    alone = rests.where("NOT shared").select("id", "piece", "n_tokens", F.concat(F.lit("a"), F.col("item_row").cast("string")).alias("container"))
+    rests = rests.where("shared").drop("shared")
 
     def shards(t: int | None, n: int | None) -> int:
         return max(1, -(-(t or 0) // shard_tokens), -(-(n or 0) // 500_000))
@@ -112,5 +117,5 @@ def pack(spark: SparkSession, sizes: DataFrame, item: str = "doc_id", size: str
         second = _packed(first.where(open_).select("id", "piece", "n_tokens", "item_row"), shards(t2, n2), 2, limits, weights, rule)
         again = first.where(~open_).unionByName(second)
     mixed = again.select("id", "piece", "n_tokens", F.concat(F.lit("m"), F.hex("container")).alias("container"))
-    out = mixed.unionByName(whole).unionByName(none)
+    out = mixed.unionByName(whole).unionByName(alone).unionByName(none)
     return out.select(F.col("id").alias(item), "piece", (F.col("piece").cast("bigint") * tokens).alias("start"), "n_tokens", "container")

@@ -2,19 +2,26 @@
 
 A text is cut into blocks: runs of lines of one layout (plain lines, entries of a list, a row of entries, cells of
 a table, machine lines). Each block gives three distributions: token kinds (function words of the languages
-known, other words, very short words, numbers, mixed tokens), character classes, and layout. A block belongs to
+known, other words, very short words, numbers, mixed tokens), character classes, and layout; and its function words
+give a fourth: how far they, as a distribution, are from those of the document's language. A block belongs to
 the profile with the least weighted sum of Jensen-Shannon divergences from them; profiles are those of prose and
 of lists, tables, machine output and several kinds of junk (`PROFILES`). A document is assigned the profile that
 holds most of its characters, and is not prose when profiles other than prose hold more than half of them. What
 lies in prose blocks but repeats one fragment over and over (one sentence, or a run of any period) isn't prose.
-The language of prose is the one whose function words, as a distribution, are nearest to the document's.
+
+A language's profile is how often each of its function words comes in the documents of that language, counted over
+all documents in a first pass (a document's language there is the one whose word list is nearest); every word of the
+list has a small share besides. The language of a document is the one whose profile is nearest to its function words.
+
+Layout counts least: without it (its weight 0) the divergences alone find 91 % of the cases found with it in the
+tables of TESTDATA, and 99.7 % of what they find is among those.
 
 Basic counts go along: words, mean word length, symbol ratio, share of lines that end in punctuation, share of
 common words, share of the commonest fragment (a text that repeats one fragment over and over is junk however
 prose-like the fragment is).
 
-Everything is a narrow map through Arrow without a shuffle; the list of common words (a few hundred, checked to
-be at most `MAX_WORDS`) goes to every task.
+Both passes are narrow maps through Arrow; the first gives a row for each language and word from each task, which are
+summed. The list of common words (a few hundred, checked to be at most `MAX_WORDS`) and the profiles are broadcast.
 
 Nulls and the like: null, empty and blank texts have counts of 0, profile `empty`, and are never a case; texts are
 read whole; equal texts get equal rows; rows with null or equal ids are kept; common words may be empty, then only
@@ -31,6 +38,7 @@ from itertools import repeat
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tidemark.functions.columns import c
 
@@ -58,8 +66,14 @@ _ROWS = (" · ", " / ", " > ", " | ", " • ", " → ", " – ", "; ", ", ")
 
 LAYOUTS = ("plain", "entry", "row", "cells", "machine")
 _KINDS, _CLASSES = 5, 8
-#: How much the divergences of token kinds, character classes and layout count.
-WEIGHTS = (1.0, 1.0, 0.6)
+#: How much the divergences of token kinds, character classes and layout count, and that of function words.
+WEIGHTS, FUNCTION_WEIGHT = (1.0, 1.0, 0.3), 0.5
+#: How far a block's function words are from those of its language in each structure (prose, list, table, machine, junk).
+FUNCTIONS_FAR = (0.25, 0.75, 0.95, 0.95, 0.95)
+#: Words of a block at which its function words count for half; in a single sentence they say little.
+SURE_WORDS = 20
+#: Occurrences that a language's word list stands for beside those counted.
+PRIOR = 50
 
 #: name: structure, token kinds (function, word, short word, number, mixed), character classes (letters, digits,
 #: space, sentence marks, structural marks, CJK, stray, other), layout; each a share of characters.
@@ -118,7 +132,9 @@ _TABLE = _byte_classes()
 
 
 class Lexicon:
-    def __init__(self, words: list[tuple[str, str]]):
+    """Function words by language. counts: how often each word of a language comes in its documents, if that is known."""
+
+    def __init__(self, words: list[tuple[str, str]], counts: dict[tuple[str, str], int] | None = None):
         langs: dict[str, set[str]] = {k: set(v.split()) for k, v in MORE_WORDS.items()}
         for lang, word in words:
             langs.setdefault(lang, set()).add(word.lower())
@@ -129,6 +145,21 @@ class Lexicon:
         self.index = {w: i for i, w in enumerate(words_)}
         self.profiles = np.array([[w in langs[k] for w in words_] for k in self.languages], float)
         self.profiles /= np.maximum(self.profiles.sum(1, keepdims=True), 1)
+        if counts:
+            self.profiles *= PRIOR
+            at = {k: i for i, k in enumerate(self.languages)}
+            for (lang, word), n in counts.items():
+                self.profiles[at[lang], self.index[word]] += n
+            self.profiles /= np.maximum(self.profiles.sum(1, keepdims=True), 1e-12)
+
+    def far(self, counts: np.ndarray, language: str) -> float:
+        """How far these counts of function words are from a language's profile, from 0 to 1; 1 if there are none."""
+        at = np.flatnonzero(counts)
+        if not len(at):
+            return 1.0
+        p, q = counts[at] / counts.sum(), self.profiles[self.languages.index(language), at]
+        m = (p + q) / 2
+        return float(((p * np.log2(p / m)).sum() + (q * np.log2(np.where(q > 0, q, 1) / m)).sum() + 1 - q.sum()) / 2)
 
     def language(self, counts: np.ndarray) -> str | None:
         """The language whose function words are nearest to these counts of them, by Jensen-Shannon divergence.
@@ -273,14 +304,25 @@ class _Measured:
 class Quality:
     """Measures texts with a lexicon."""
 
-    def __init__(self, words: list[tuple[str, str]]):
-        self.lexicon = Lexicon(words)
+    def __init__(self, words: list[tuple[str, str]], counts: dict[tuple[str, str], int] | None = None):
+        self.lexicon = Lexicon(words, counts)
         self.kinds = _Kinds({w: i for w, i in self.lexicon.index.items() if w in self.lexicon.spaced})
         self.unspaced = [(w, self.lexicon.index[w]) for w in self.lexicon.unspaced]
         self.names = list(PROFILES)
         self.structure = np.array([STRUCTURES.index(p[0]) for p in PROFILES.values()])
+        self.functions_far = np.array([[1 - FUNCTIONS_FAR[s], FUNCTIONS_FAR[s]] for s in self.structure])
         self.profiles = [np.array([_shares(np.array(p[k], float)) for p in PROFILES.values()]) for k in (1, 2, 3)]
 
+    def functions(self, text: str) -> np.ndarray:
+        """How often each function word comes in a text."""
+        tokens = text.split()
+        codes = np.fromiter(map(self.kinds.__getitem__, tokens), np.int64, len(tokens))
+        out = np.bincount(codes // _FUNCTION, minlength=len(self.lexicon.index) + 1)[1:]
+        if not text.isascii() and len(_CJK.findall(text)) > 0.1 * len(text):
+            for w, i in self.unspaced:
+                out[i] += text.count(w)
+        return out
+
     def _block(self, b: Block, text: str, tokens: list[str]) -> _Measured:
         m = _Measured()
         codes = np.fromiter(map(self.kinds.__getitem__, tokens), np.int64, len(tokens))
@@ -324,12 +366,15 @@ class Quality:
             measured.append(ms)
             repeats.append(self._repeats("\n".join(parts), tokens, ms) if bs else (0.0, False))
         every = [m for ms in measured for m in ms]
+        functions = np.array([sum((m.functions for m in ms), np.zeros(len(self.lexicon.index))) for ms in measured])
+        languages = [self.lexicon.language(f) for f in functions]
         if every:
             vectors = (np.array([_shares(getattr(m, k)) for m in every]) for k in ("kinds", "chars", "at"))
             far = sum(w * jensen_shannon(v, p) for w, v, p in zip(WEIGHTS, vectors, self.profiles, strict=True))
+            apart = np.array([1.0 if k is None else self.lexicon.far(m.functions, k) for ms, k in zip(measured, languages, strict=True) for m in ms])
+            sure = np.array([m.words / (m.words + SURE_WORDS) for m in every])
+            far = far + FUNCTION_WEIGHT * sure[:, None] * jensen_shannon(np.stack([1 - apart, apart], 1), self.functions_far)
             nearest = np.argmin(far, axis=1)
-        functions = np.array([sum((m.functions for m in ms), np.zeros(len(self.lexicon.index))) for ms in measured])
-        languages = [self.lexicon.language(f) for f in functions]
         rows, i = [], 0
         for bs, ms, (top, again), f, language in zip(found, measured, repeats, functions, languages, strict=True):
             if not bs:
@@ -427,18 +472,37 @@ COLUMNS = (
 _ARROW = {"bigint": pa.int64(), "double": pa.float64(), "string": pa.string(), "boolean": pa.bool_()}
 
 
+def function_counts(df: DataFrame, words: list[tuple[str, str]], text: str = "text") -> dict[tuple[str, str], int]:
+    """(language, word) -> how often the function word comes in all documents of the language."""
+    shared = df.sparkSession.sparkContext.broadcast(words)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        q = Quality(shared.value)
+        lexicon, total = q.lexicon, {}
+        for b in batches:
+            for t in b.column(0).to_pylist():
+                if t and (k := lexicon.language(f := q.functions(t))):
+                    total[k] = total[k] + f if k in total else f
+        names = list(lexicon.index)
+        got = [(k, names[i], int(f[i])) for k, f in total.items() for i in np.flatnonzero(f)]
+        yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in got], pa.string()), pa.array([r[1] for r in got], pa.string()), pa.array([r[2] for r in got], pa.int64())], ["lang", "word", "n"])
+
+    counted = df.select(c(text).cast("string").alias("text")).where("text IS NOT NULL").mapInArrow(run, "lang string, word string, n bigint")
+    return {(r[0], r[1]): r[2] for r in counted.groupBy("lang", "word").agg(F.sum("n")).collect()}  # at most the words of each language
+
+
 def text_quality(df: DataFrame, common_words: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The id and COLUMNS of every row."""
     words = [(r[0], r[1]) for r in common_words.select("lang", "word").where("lang IS NOT NULL AND word IS NOT NULL").distinct().limit(MAX_WORDS + 1).collect()]
     if len(words) > MAX_WORDS:
         raise ValueError(f"more than {MAX_WORDS} common words")
     words.sort()
-
+    shared = df.sparkSession.sparkContext.broadcast((words, function_counts(df, words, text)))
     kind = df.schema[doc_id].dataType.simpleString()
     one = df.select(c(doc_id).alias("id"), c(text).cast("string").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        q = Quality(words)
+        q = Quality(*shared.value)
         for b in batches:
             for lo in range(0, b.num_rows, 500):
                 part = b.slice(lo, 500)
