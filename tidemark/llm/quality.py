@@ -7,7 +7,8 @@ give a fourth: how far they, as a distribution, are from those of the document's
 the profile with the least weighted sum of Jensen-Shannon divergences from them; profiles are those of prose and
 of lists, tables, machine output and several kinds of junk (`PROFILES`). A document is assigned the profile that
 holds most of its characters, and is not prose when profiles other than prose hold more than half of them. What
-lies in prose blocks but repeats one fragment over and over (one sentence, or a run of any period) isn't prose.
+lies in prose blocks but repeats one fragment over and over (one sentence, or a run of any period) isn't prose; it is
+looked for where enough tokens come again for it to change on which side of one half the document is.
 
 A language's profile is how often each of its function words comes in the documents of that language, counted over
 all documents in a first pass (a document's language there is the one whose word list is nearest); every word of the
@@ -356,7 +357,7 @@ class Quality:
 
     def measure(self, texts: list[str | None]) -> dict[str, list]:
         """Values of COLUMNS, by name."""
-        found, measured, repeats = [], [], []
+        found, measured, repeats, words = [], [], [], []
         for t in texts:
             bs = blocks(t) if t else []
             found.append(bs)
@@ -364,19 +365,20 @@ class Quality:
             tokens = [p.split() for p in parts]
             ms = [self._block(b, p, k) for b, p, k in zip(bs, parts, tokens, strict=True)]
             measured.append(ms)
+            words.append(tokens)
             repeats.append(self._repeats("\n".join(parts), tokens, ms) if bs else (0.0, False))
         every = [m for ms in measured for m in ms]
         functions = np.array([sum((m.functions for m in ms), np.zeros(len(self.lexicon.index))) for ms in measured])
         languages = [self.lexicon.language(f) for f in functions]
         if every:
-            vectors = (np.array([_shares(getattr(m, k)) for m in every]) for k in ("kinds", "chars", "at"))
-            far = sum(w * jensen_shannon(v, p) for w, v, p in zip(WEIGHTS, vectors, self.profiles, strict=True))
+            vectors = [np.array([getattr(m, k) for m in every], float) for k in ("kinds", "chars", "at")]
+            far = sum(w * jensen_shannon(v / np.maximum(v.sum(1, keepdims=True), 1e-12), p) for w, v, p in zip(WEIGHTS, vectors, self.profiles, strict=True))
             apart = np.array([1.0 if k is None else self.lexicon.far(m.functions, k) for ms, k in zip(measured, languages, strict=True) for m in ms])
             sure = np.array([m.words / (m.words + SURE_WORDS) for m in every])
             far = far + FUNCTION_WEIGHT * sure[:, None] * jensen_shannon(np.stack([1 - apart, apart], 1), self.functions_far)
             nearest = np.argmin(far, axis=1)
         rows, i = [], 0
-        for bs, ms, (top, again), f, language in zip(found, measured, repeats, functions, languages, strict=True):
+        for bs, ms, (top, again), f, language, tokens in zip(found, measured, repeats, functions, languages, words, strict=True):
             if not bs:
                 rows.append((0, 0.0, 0.0, 0.0, 0.0, 0.0, 0.0, None, "empty", "empty", 0.0, 0, False))
                 continue
@@ -388,7 +390,8 @@ class Quality:
             total = size.sum()
             by = np.bincount(self.structure, weights=size, minlength=len(STRUCTURES))
             prose = 0.0 if again else float(by[0] / total)
-            if prose and (share := self._repeated("\n".join(ln for b, s in zip(bs, nearest[i - len(bs) : i], strict=True) if self.structure[s] == 0 for ln in b.lines))):
+            plain = [k for k, s in enumerate(nearest[i - len(bs) : i]) if self.structure[s] == 0]
+            if prose and (share := self._repeated("\n".join(ln for k in plain for ln in bs[k].lines), [tokens[k] for k in plain], 1 - 0.5 / prose)):
                 prose *= 1 - share
                 if prose < 0.5:
                     again = by[0] * share >= by[1:].max()
@@ -401,18 +404,23 @@ class Quality:
         return {n: list(v) for (n, _), v in zip(COLUMNS, zip(*rows, strict=True), strict=True)} if rows else {n: [] for n, _ in COLUMNS}
 
     @staticmethod
-    def _repeated(text: str) -> float:
-        """The share of a text's characters that its commonest fragment has, or that lie in periodic runs."""
+    def _repeated(text: str, split: list[list[str]], least: float) -> float:
+        """The share of a text's characters that its commonest fragment has, or that lie in periodic runs.
+
+        Runs are looked for only if tokens that come `REPEATS` times or more, which alone can be in one, have more than
+        the share `least`.
+        """
         cjk = not text.isascii() and len(_CJK.findall(text)) > 0.1 * len(text)
         top, fragments = 0.0, _ENDS.split(text)
         if len(fragments) >= REPEATS:
             count = Counter(f for f in (x.strip(_TRIM + " ") for x in fragments) if f)
             most = max((len(f) * k for f, k in count.items() if k >= REPEATS), default=0)
             top = most / max(1, sum(len(f) * k for f, k in count.items()))
-        tokens = [ch for ch in text if not ch.isspace()] if cjk else text.split()
-        number = {t: i for i, t in enumerate(t for t, k in Counter(tokens).items() if k >= REPEATS)}
-        if len(number) == 0 or len(tokens) < REPEATS + _GRAM:
+        tokens = [ch for ch in text if not ch.isspace()] if cjk else split[0] if len(split) == 1 else [x for t in split for x in t]
+        again = [(t, k) for t, k in Counter(tokens).items() if k >= REPEATS]
+        if len(tokens) < REPEATS + _GRAM or sum(len(t) * k for t, k in again) <= least * sum(map(len, tokens)):
             return top
+        number = {t: i for i, (t, _) in enumerate(again)}
         # a stretch of tokens that comes at least REPEATS times at equal distances lies in a run; rarer tokens are in none
         ids = np.fromiter(map(number.get, tokens, repeat(-1)), np.int64, len(tokens))
         n = len(ids) - _GRAM + 1
