@@ -40,7 +40,7 @@ from pyspark.sql.window import Window
 
 from tidemark.functions.columns import c, fresh_prefix, tie_break
 from tidemark.operators.messages import MESSAGE_KEY
-from tidemark.store import SnapshotTable, retrying
+from tidemark.store import SnapshotTable, advanced, retrying
 
 #: Slots are 2^LEAST_DEPTH or more, eight times as many as a level of buckets has, up to 2^MOST_DEPTH.
 LEAST_DEPTH, MOST_DEPTH = 11, 20
@@ -113,7 +113,7 @@ class ChangeTable:
     def apply(self, changes: DataFrame, batch: str | None = None, **properties) -> dict:
         """Merge changes in; a batch id that a manifest already names is skipped. A lost commit is tried again.
 
-        properties: what becomes visible with the batch, such as the offsets it ends at; dictionaries add to those there.
+        properties: what becomes visible with the batch, such as the offsets it ends at; dictionaries of positions advance those there.
         """
         return retrying(lambda: self._apply(self.table.manifest(), changes, batch, properties))
 
@@ -159,7 +159,7 @@ class ChangeTable:
         stay = leaves - touched
         split |= set(base["properties"].get("split", ())) & {name(x) for x in stay}
         now = sorted(stay | {x for x, _ in grown})
-        return self.table.commit(base, parts, payload, "apply", buckets=[*map(name, now)], split=sorted(split), touched=len(touched), **{k: {**base["properties"].get(k, {}), **v} if isinstance(v, dict) else v for k, v in properties.items()}, **({} if batch is None else self.table.with_batch(base, batch)))
+        return self.table.commit(base, parts, payload, "apply", buckets=[*map(name, now)], split=sorted(split), touched=len(touched), **{k: advanced(base["properties"].get(k, {}), v) if isinstance(v, dict) else v for k, v in properties.items()}, **({} if batch is None else self.table.with_batch(base, batch)))
 
     def current(self, version: int | None = None) -> DataFrame:
         """The rows that exist after all changes applied so far, each with the message that gave it."""

@@ -24,7 +24,7 @@ from pyspark.sql.window import Window
 
 from tidemark.functions.columns import c, fresh, tie_break
 from tidemark.functions.joins import BROADCAST_ROWS
-from tidemark.store import SnapshotTable, retrying
+from tidemark.store import SnapshotTable, advanced, retrying
 
 
 def latest_per_key(df: DataFrame, key: str | Sequence[str] = "id", order: Sequence[str] = ("processing_time",)) -> DataFrame:
@@ -148,7 +148,7 @@ class MergeTable:
         part = self.table.write_part(placed.repartition(bucket).sortWithinPartitions(bucket), bucket)
         parts = {k: v for k, v in base["parts"].items() if int(k) not in touched}
         parts |= {b: [p] for b, p in self.table.buckets_of(part).items()}
-        return self.table.commit(base, parts, merged.schema.json(), "merge", buckets=buckets, rows=rows, last={**last, origin: number}, offsets={**base["properties"].get("offsets", {}), **(offsets or {})})
+        return self.table.commit(base, parts, merged.schema.json(), "merge", buckets=buckets, rows=rows, last={**last, origin: number}, offsets=advanced(base["properties"].get("offsets", {}), offsets or {}))
 
     def rows(self, version: int | None = None) -> DataFrame:
         return self.table.live(version)
