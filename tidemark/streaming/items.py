@@ -59,12 +59,14 @@ def batch_writer(table: ChangeTable, rejects: SnapshotTable | None = None, origi
         if number <= table.table.manifest()["properties"].get("last", {}).get(origin, -1):
             return
         batch = batch.persist()
+        good, bad = decode(batch, time=F.col("append_time"), batch_id=f"{origin}-{number}", keep=MESSAGE_KEY)
+        good = keyed(good).persist()  # decoded once, though it is counted, routed and written
         try:
-            good, bad = decode(batch, time=F.col("append_time"), batch_id=f"{origin}-{number}", keep=MESSAGE_KEY)
             if rejects is not None:
                 retrying(lambda: _refuse(rejects, bad, number))
-            table.apply(keyed(good), f"{origin}-{number}", last={origin: number}, offsets=end_offsets(batch))
+            table.apply(good, f"{origin}-{number}", last={origin: number}, offsets=end_offsets(batch))
         finally:
+            good.unpersist()
             batch.unpersist()
 
     return write
